@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from sievework.functions.model_json import as_boolean, as_text, json_object, json_objects
 from sievework.functions.rules import MIN_SCORE, abstention_note, abstention_outcome, clamp_score, keep_expr, outcome, reject_reason
 from sievework.functions.text import or_true, strip
+from sievework.operators.ordinals import with_ordinal
 from sievework.schemas import CRITERIA
+from sievework.session import broadcast_if_small, cut
 
 #: Characters of a passage that the judge sees, and of its reason that are kept.
 CONTEXT, REASON = 800, 150
@@ -19,22 +21,25 @@ JUDGE_PROMPT = (
 
 
 def passage_groups(pairs: DataFrame, passage: str = "chunk_text", order: str = "pair_ord", batch: int = 50) -> DataFrame:
-    """Pairs of one passage text in batches of at most ``batch``, in order: ``passage, batch_no, pairs``.
+    """Pairs of one passage text, in order: ``passage, batch_no, pairs``.
 
-    Equal texts fall together wherever they stand. The position in a passage is taken from the
-    order, so that a passage with very many pairs is never gathered in one row.
+    Equal texts fall together wherever they stand, null ones too. A passage with more than
+    ``batch`` pairs is cut into batches by row numbers over the table, so that no task gathers it.
     """
-    from pyspark.sql import Window
-
-    at = F.row_number().over(Window.partitionBy(passage).orderBy(order)) - 1
-    placed = pairs.withColumn("_at", at).withColumn("batch_no", F.floor(F.col("_at") / batch).cast("int"))
-    item = F.struct((F.col("_at") % batch + 1).alias("index"), F.col(order).alias("pair_ord"), "question", "answer")
-    return placed.groupBy(F.col(passage).alias("passage"), "batch_no").agg(F.sort_array(F.collect_list(item)).alias("pairs"))
+    item = F.sort_array(F.collect_list(F.struct(F.col(order).alias("pair_ord"), "question", "answer"))).alias("pairs")
+    large = cut(pairs.groupBy(passage).agg(F.count("*").alias("n")).filter(F.col("n") > batch).select(F.col(passage).alias("_large")))
+    match = F.col(passage).eqNullSafe(F.col("_large"))
+    few = broadcast_if_small(large)
+    small = pairs.join(few, match, "left_anti").groupBy(F.col(passage).alias("passage")).agg(item).select("passage", F.lit(0).cast("bigint").alias("batch_no"), "pairs")
+    if large.isEmpty():
+        return small
+    numbered = with_ordinal(pairs.join(few, match, "left_semi"), [F.col(passage), F.col(order)], "_ord")
+    return small.unionByName(numbered.groupBy(F.col(passage).alias("passage"), F.floor(F.col("_ord") / batch).alias("batch_no")).agg(item))
 
 
 def batch_prompt(passage: Column, pairs: Column) -> Column:
     """Rubric, the head of the passage, and the pairs, numbered from 1."""
-    lines = F.transform(pairs, lambda p: F.concat(F.lit("\n["), p["index"].cast("string"), F.lit("] Q: "), p["question"], F.lit("\n    A: "), p["answer"]))
+    lines = F.transform(pairs, lambda p, i: F.concat(F.lit("\n["), (i + 1).cast("string"), F.lit("] Q: "), p["question"], F.lit("\n    A: "), p["answer"]))
     return F.concat(F.lit(JUDGE_PROMPT), F.substring(passage, 1, CONTEXT), F.lit("\n\nPairs:"), F.array_join(lines, ""))
 
 

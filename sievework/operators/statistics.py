@@ -38,17 +38,18 @@ def clinical(sources: Column) -> Column:
     return F.coalesce(F.bool_or(hit), F.lit(False))
 
 
-def chat_records(pairs: DataFrame, include_system: bool = True) -> DataFrame:
-    """``messages`` of a system, a user and an assistant turn, beside the other export columns.
-
-    The system turn depends on all sources together.
-    """
+def with_messages(pairs: DataFrame, include_system: bool = True) -> DataFrame:
+    """Add ``messages``: a system, a user and an assistant turn. The system turn depends on all sources together."""
     system = pairs.agg(F.when(clinical(F.col("source")), CLINICAL_SYSTEM).otherwise(SYSTEM).alias("_system"))
     turn = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
     turns = [turn("user", F.col("question")), turn("assistant", F.col("answer"))]
     wide = pairs.crossJoin(F.broadcast(system))  # one row on the right
-    messages = F.array(*([turn("system", F.col("_system"))] if include_system else []), *turns)
-    return wide.select(messages.alias("messages"), "source", "page", "question_type", or_true(F.col("answerable")).alias("answerable"), "quality_score")
+    return wide.withColumn("messages", F.array(*([turn("system", F.col("_system"))] if include_system else []), *turns)).drop("_system")
+
+
+def chat_records(pairs: DataFrame, include_system: bool = True) -> DataFrame:
+    """``messages`` beside the other export columns."""
+    return with_messages(pairs, include_system).select("messages", "source", "page", "question_type", or_true(F.col("answerable")).alias("answerable"), "quality_score")
 
 
 def counts(final: DataFrame, rejected: DataFrame, duplicates: DataFrame) -> DataFrame:
