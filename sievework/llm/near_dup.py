@@ -49,7 +49,7 @@ class NearDuplicates:
     members: DataFrame
 
 
-def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, t: Fraction, seen: set[int]) -> pa.RecordBatch:
+def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, t: Fraction, seen: set[int], hot_word: int) -> pa.RecordBatch:
     """Block rows of a batch of (k1, sorted distinct word hashes)."""
     k1 = batch.column(0).to_numpy()
     values, offsets = _lists(batch.column(1))
@@ -79,7 +79,7 @@ def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, t: Fraction, seen: set[
     row, at = row[take], at[take]
     word = values[take]
     size = n[row]
-    hot = max(HOT_WORD, 16 * int(counts.mean()))
+    hot = max(hot_word, 16 * int(counts.mean()))
     times = counts[(word % SKETCH).astype(np.int64)]
     cells = -(-times // hot)
     out = [word.view(np.int64), k1[row], suffix[take].view(np.int64), size.astype(np.int32), at.astype(np.int32)]
@@ -161,7 +161,7 @@ def _candidates(divisor: int, ratio: tuple[int, int]):
     return run
 
 
-def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column, *, threshold: Fraction = Fraction(4, 5), parts: int | None = None) -> NearDuplicates:
+def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column, *, threshold: Fraction = Fraction(4, 5), hot_word: int = HOT_WORD) -> NearDuplicates:
     """All pairs of classes of records whose word similarity is at least ``threshold``.
 
     A class is a set of distinct words of ``text`` with a set of distinct numbers of
@@ -191,10 +191,10 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            yield _prefixes(batch, sent.value, t, seen)
+            yield _prefixes(batch, sent.value, t, seen, hot_word)
 
     blocks = keyed.filter(F.size("w") > 0).select("k1", "w").mapInArrow(prefixes, _BLOCKS)
-    blocks = (blocks.repartition(parts, "word") if parts else blocks.repartition("word")).sortWithinPartitions("word")
+    blocks = blocks.repartition("word").sortWithinPartitions("word")
     found = cut(blocks.mapInArrow(_candidates(divisor, ratio), "a1 bigint, b1 bigint").distinct())
     members = cut(keyed.select("k1", "k2", "id").distinct())
 

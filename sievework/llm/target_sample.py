@@ -80,7 +80,7 @@ def target_sample(df: DataFrame, id_col: str, keys: dict[str, Column], cells: Da
     (``plan_id, cell_id, sample_pct, target_pct, min_rows`` and the keys). A row whose key is
     null or in no cell belongs to none but counts in N. Rows of one id count once (the latest
     by ``delivered``, then the largest values); rows with a null id are left out. A null
-    percentage or minimum is 0. An empty table leaves every cell with a positive wish unmet;
+    percentage or minimum is 0; cells without plan or number are left out. An empty table leaves every cell with a positive wish unmet;
     empty cells give an empty report. Other columns of ``df`` are never looked at.
 
     Chosen in a cell are the rows with the smallest random keys: a hash of seed and id, then
@@ -92,6 +92,7 @@ def target_sample(df: DataFrame, id_col: str, keys: dict[str, Column], cells: Da
     rows = cut(picked.groupBy("lo").agg(F.max("s").alias("s")).select("lo", *[F.col(f"s.{k}").alias(k) for k in names]))
     counts = cut(rows.groupBy(*names).agg(F.count("*").alias("available")))
     total = counts.agg(F.coalesce(F.sum("available"), F.lit(0))).first()[0]
+    cells = cells.filter("plan_id is not null and cell_id is not null").select(*names, "plan_id", "cell_id", "sample_pct", "target_pct", "min_rows")
     plans = cells.join(counts, names, "left").select("plan_id", "cell_id", "sample_pct", "target_pct", "min_rows", F.coalesce("available", F.lit(0)).alias("available"), F.lit(total).cast("bigint").alias("total"))
     report = cut(plans.groupBy("plan_id").applyInPandas(_plan, _REPORT))
 

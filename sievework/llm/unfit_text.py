@@ -190,7 +190,7 @@ def train(texts: list[str | None], labels: list[str], rounds: int = 2, seed: int
         use = own[rows] | fit_rows[rows]
         r = _ratio(cols[use], own[rows[use]])
         scores[:, c] = np.bincount(rows, r[cols], len(parts)) / np.sqrt(np.bincount(rows, minlength=len(parts)) + 1)
-    half = doc % 2 == 0
+    half = np.random.default_rng(seed).random(len(texts))[doc] < 0.5
     for step in range(rounds + 1):
         truth = np.full(len(parts), -1)
         truth[fit_rows] = k
@@ -237,6 +237,8 @@ def fit_model(docs: DataFrame, labels: DataFrame, *, max_labelled: int = MAX_LAB
             yield pd.DataFrame({"category": [name], "weights": [m.weights[c].tobytes()], "ratios": [m.ratios[c].tobytes()], "bias": [float(m.bias[c])]})
 
     rows = {r.category: r for r in texts.coalesce(1).mapInPandas(run, "category string, weights binary, ratios binary, bias double").collect()}
+    if not rows:  # no document is labelled
+        return _fit_all(np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int64))
     stack = lambda k: np.stack([np.frombuffer(rows[c][k], np.float32) for c in CATEGORIES])
     return Model(stack("weights"), stack("ratios"), np.array([rows[c].bias for c in CATEGORIES]))
 
