@@ -104,7 +104,8 @@ def retry_seconds(message: Column, attempt: Column) -> Column:
     pattern = r"try again in (?:(\d+)m)?([\d.]+)s"
     minutes = F.coalesce(F.regexp_extract(message, pattern, 1).try_cast("double"), F.lit(0.0))
     seconds = F.regexp_extract(message, pattern, 2).try_cast("double")
-    return F.coalesce(F.least(minutes * 60 + seconds + 1, F.lit(300.0)), F.least(F.lit(20.0) * (attempt + 1), F.lit(120.0)))
+    told = F.when(seconds.isNotNull(), F.least(minutes * 60 + seconds + 1, F.lit(300.0)))
+    return F.coalesce(told, F.least(F.lit(20.0) * (attempt + 1), F.lit(120.0)))
 
 
 def generation_summary(pairs: DataFrame) -> DataFrame:

@@ -119,7 +119,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, policy: str = "skip"
 
 def read_jsonl_until_broken(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The JSON lines of one file before its first broken one."""
-    lines = spark.read.option("wholetext", "true").text(path).select(F.posexplode(F.split("value", "\r?\n")).alias("at", "line")).filter("line <> ''")
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("at", "line")).filter("line <> ''")
     got = lines.select("at", F.from_json("line", schema).alias("r"), F.try_parse_json("line").isNull().alias("bad"))
     stop = got.filter("bad").agg(F.min("at").alias("stop"))
     return got.crossJoin(F.broadcast(stop)).filter(F.col("stop").isNull() | (F.col("at") < F.col("stop"))).select("r.*")  # one row on the right
@@ -132,5 +132,5 @@ def read_json_object(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """A JSON object from question to scores, as rows."""
-    whole = spark.read.option("wholetext", "true").text(path).select(F.from_json("value", f"map<string, {SCORES}>").alias("m"))
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", f"map<string, {SCORES}>").alias("m"))
     return whole.select(F.explode("m").alias("question", "scores"))
