@@ -16,6 +16,9 @@ QUESTION_TYPES = ("factual", "definitional", "procedural")
 ABSTENTION = "This information is not available in the provided document."
 NOT_ASSESSED = "judge call failed - not assessed"
 UNGROUNDED = "UNGROUNDED"
+#: Reasons where the judge gave none.
+NOT_TRACEABLE = "claims not traceable to passage"
+NOT_FIXED, DOES_ANSWER, OFF_TOPIC = "answer is not the fixed abstention string", "passage does answer the question", "question is off-topic or implausible"
 
 #: Questions that lean on their passage, and questions about the publication.
 CONTEXT_DEPENDENT = (
@@ -90,7 +93,7 @@ def reject_reason(scores: Column, said: Column, min_score: int = MIN_SCORE, floo
     least = FLOORS if floors is None else floors
     reason = F.nullif(strip(F.coalesce(said, F.lit(""))), F.lit(""))
     s = {k: F.coalesce(scores[k], F.lit(0)) for k in CRITERIA}
-    ground = F.concat(F.lit(f"{UNGROUNDED} (groundedness "), s["groundedness"].cast("string"), F.lit("/2): "), F.coalesce(reason, F.lit("answer not supported by the passage")))
+    ground = F.concat(F.lit(f"{UNGROUNDED} (groundedness "), s["groundedness"].cast("string"), F.lit("/2): "), F.coalesce(reason, F.lit(NOT_TRACEABLE)))
     below = F.array_compact(F.array(*[F.when(s[k] < f, F.concat(F.lit(f"{k} "), s[k].cast("string"), F.lit(f"/{f}"))) for k, f in least.items() if k != "groundedness"] or [F.lit(None).cast("string")]))
     floor_text = F.concat(F.lit("below floor on "), F.array_join(below, ", "), F.coalesce(F.concat(F.lit(": "), reason), F.lit("")))
     total = total_score(scores)
@@ -116,10 +119,14 @@ def abstention_outcome(check: Column) -> Column:
     return F.when(a.isNull() | b.isNull() | c.isNull(), "not_assessed").when(a & b & c, "passed").otherwise("failed")
 
 
-def abstention_note(check: Column) -> Column:
-    """What failed first: the fixed answer, then being unanswerable, then being plausible."""
+def abstention_note(check: Column, said: Column | None = None) -> Column:
+    """What failed first: the fixed answer, then being unanswerable, then being plausible.
+
+    For the last two the judge's own reason counts, if it gave one.
+    """
     failed = abstention_outcome(check) == "failed"
-    return F.when(failed, F.when(~check["abstention_answer"], "answer is not the fixed refusal").when(~check["unanswerable"], "the passage answers it").otherwise("not a plausible question"))
+    reason = F.lit(None).cast("string") if said is None else F.nullif(strip(F.coalesce(said, F.lit(""))), F.lit(""))
+    return F.when(failed, F.when(~check["abstention_answer"], NOT_FIXED).when(~check["unanswerable"], F.coalesce(reason, F.lit(DOES_ANSWER))).otherwise(F.coalesce(reason, F.lit(OFF_TOPIC))))
 
 
 def answerable(c: Column) -> Column:

@@ -190,7 +190,7 @@ def greedy_dedup(pairs: DataFrame, ord_col: str, vector: str, threshold: float =
     removed = found.join(text, found["i"] == text["_o"]).drop("_o").withColumnsRenamed({"question": "removed_question", "answer": "removed_answer"})
     other = pairs.select(F.col(ord_col).alias("duplicate_of"), F.col("question").alias("duplicate_of_question"), F.col("answer").alias("duplicate_of_answer"))
     full = removed.join(other, "duplicate_of")
-    overlap = lexical_overlap(F.concat_ws(" ", "removed_question", "removed_answer"), F.concat_ws(" ", "duplicate_of_question", "duplicate_of_answer"))
+    overlap = lexical_overlap(F.col("removed_question"), F.col("duplicate_of_question"))
     return unique, full.withColumn("lexical_overlap", overlap).select("i", "removed_question", "removed_answer", "duplicate_of_question", "duplicate_of_answer", "similarity", "lexical_overlap", "source", "page", "question_type", "quality_score")
 
 

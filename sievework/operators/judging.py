@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.model_json import as_boolean, as_text, json_object, json_objects
-from sievework.functions.rules import MIN_SCORE, abstention_note, abstention_outcome, clamp_score, keep_expr, outcome, reject_reason
+from sievework.functions.rules import MIN_SCORE, NOT_ASSESSED, abstention_note, abstention_outcome, clamp_score, keep_expr, outcome, reject_reason
 from sievework.functions.text import or_true, strip
 from sievework.operators.ordinals import with_ordinal
 from sievework.schemas import CRITERIA
@@ -56,7 +56,9 @@ def aligned_scores(groups: DataFrame, response: str = "raw") -> DataFrame:
     """
     item = F.explode(json_objects(F.col(response))).alias("_o")
     got = groups.select("pairs", item).withColumn("_i", F.element_at("_o.fields", F.lit("index")))
-    own = F.coalesce(F.regexp_extract(F.col("_i"), r'^"?\s*([+-]?\d+)(?:\.\d+)?\s*"?$', 1).try_cast("int"), F.col("_o.at") + 1)
+    # a whole number in quotes, or any number without
+    whole = F.coalesce(*[F.regexp_extract(F.col("_i"), p, 1).try_cast("int") for p in (r'^"\s*([+-]?\d+)\s*"$', r"^([+-]?\d+)(?:\.\d+)?$")], F.when(F.col("_i") == "true", 1).when(F.col("_i") == "false", 0))
+    own = F.coalesce(whole, F.col("_o.at") + 1)
     placed = got.withColumn("_p", own).filter((F.col("_p") >= 1) & (F.col("_p") <= F.size("pairs")))
     row = placed.select(F.element_at("pairs", F.col("_p"))["pair_ord"].alias("pair_ord"), F.col("_o.at").alias("_at"), scores_of(F.col("_o.fields")).alias("scores"), F.substring(strip(F.coalesce(as_text(F.element_at("_o.fields", F.lit("reason"))), F.lit(""))), 1, REASON).alias("reason"))
     last = F.max_by(F.struct("scores", "reason"), "_at").alias("_s")
@@ -78,7 +80,8 @@ def graded(pairs: DataFrame, min_score: int = MIN_SCORE, floors: dict[str, int]
     """
     able = or_true(F.col("answerable"))
     kind = F.when(able, outcome(F.col("scores"), min_score, floors)).otherwise(F.when(abstention_outcome(F.col("check")) == "passed", "kept").when(abstention_outcome(F.col("check")) == "failed", "rejected").otherwise("not_assessed"))
-    why = F.when(able, reject_reason(F.col("scores"), F.col("reason"), min_score, floors)).otherwise(F.when(abstention_outcome(F.col("check")) == "failed", F.concat(F.lit("abstention check failed: "), abstention_note(F.col("check")))))
+    failed = F.concat(F.lit("abstention check failed: "), abstention_note(F.col("check"), F.col("reason")))
+    why = F.when(able, reject_reason(F.col("scores"), F.col("reason"), min_score, floors)).when(abstention_outcome(F.col("check")) == "not_assessed", NOT_ASSESSED).when(abstention_outcome(F.col("check")) == "failed", failed)
     total = F.when(able, sum((F.coalesce(F.col("scores")[k], F.lit(0)) for k in CRITERIA), F.lit(0)))
     return pairs.withColumns({"outcome": kind, "quality_score": F.when(kind != "not_assessed", total), "reject_reason": why})
 

@@ -103,10 +103,11 @@ def per_type(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(F.lower(F.trim("question_type")).alias("question_type")).agg(F.count("*").alias("pairs"))
 
 
-def top_reasons(rejected: DataFrame, head: int = REASON_HEAD, top: int = TOP_REASONS) -> DataFrame:
-    """The commonest beginnings of reject reasons; ties by the text."""
-    by = rejected.filter("reject_reason is not null").groupBy(F.substring("reject_reason", 1, head).alias("reason")).agg(F.count("*").alias("pairs"))
-    return by.orderBy(F.desc("pairs"), "reason").limit(top)
+def top_reasons(rejected: DataFrame, order: Column | None = None, head: int = REASON_HEAD, top: int = TOP_REASONS) -> DataFrame:
+    """The commonest beginnings of reject reasons; ties to the first seen by ``order``, then by the text."""
+    first = F.min(F.lit(0) if order is None else order).alias("first")
+    by = rejected.filter("reject_reason is not null").groupBy(F.substring("reject_reason", 1, head).alias("reason")).agg(F.count("*").alias("pairs"), first)
+    return by.orderBy(F.desc("pairs"), "first", "reason").limit(top).drop("first")
 
 
 def summary_by_answerable(pairs: DataFrame) -> DataFrame:

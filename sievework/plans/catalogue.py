@@ -196,7 +196,7 @@ _BELOW = f"concat_ws(', ', CASE WHEN coalesce({_S}, 0) < 1 THEN 'specificity ' |
 
 
 @query(f"""SELECT CASE WHEN ({_TOTAL}) IS NULL THEN 'judge call failed - not assessed' WHEN {_KEEP} THEN NULL
-  WHEN coalesce({_G}, 0) < 2 THEN 'UNGROUNDED (groundedness ' || coalesce({_G}, 0) || '/2): answer not supported by the passage'
+  WHEN coalesce({_G}, 0) < 2 THEN 'UNGROUNDED (groundedness ' || coalesce({_G}, 0) || '/2): claims not traceable to passage'
   WHEN {_BELOW} <> '' THEN 'below floor on ' || {_BELOW} ELSE 'scored ' || ({_TOTAL}) || '/6, below threshold 4' END AS reason, count(*) AS pairs FROM rejected_pairs GROUP BY 1""")
 def computed_reasons(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "rejected_pairs").groupBy(reject_reason(F.col("scores"), F.lit(None).cast("string")).alias("reason")).agg(F.count("*").alias("pairs"))
@@ -223,8 +223,8 @@ _CHECK = """CASE WHEN abstention_check.unanswerable IS NULL OR abstention_check.
   WHEN abstention_check.unanswerable AND abstention_check.plausible AND abstention_check.abstention_answer THEN 'passed' ELSE 'failed' END"""
 
 
-@query(f"""SELECT {_CHECK} AS outcome, CASE WHEN {_CHECK} = 'failed' THEN CASE WHEN NOT abstention_check.abstention_answer THEN 'answer is not the fixed refusal'
-  WHEN NOT abstention_check.unanswerable THEN 'the passage answers it' ELSE 'not a plausible question' END END AS note, count(*) AS pairs FROM unanswerable_pairs GROUP BY ALL""")
+@query(f"""SELECT {_CHECK} AS outcome, CASE WHEN {_CHECK} = 'failed' THEN CASE WHEN NOT abstention_check.abstention_answer THEN 'answer is not the fixed abstention string'
+  WHEN NOT abstention_check.unanswerable THEN 'passage does answer the question' ELSE 'question is off-topic or implausible' END END AS note, count(*) AS pairs FROM unanswerable_pairs GROUP BY ALL""")
 def abstention_checks(s: SparkSession, d: str) -> DataFrame:
     c = F.col("abstention_check")
     return table(s, d, "unanswerable_pairs").groupBy(abstention_outcome(c).alias("outcome"), abstention_note(c).alias("note")).agg(F.count("*").alias("pairs"))
@@ -319,8 +319,8 @@ def dedup_matches(s: SparkSession, d: str) -> DataFrame:
 @query()
 def dedup_lexical_overlap(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "duplicate_pairs").distinct()
-    both = [F.concat_ws(" ", f"{k}_question", f"{k}_answer") for k in ("removed", "duplicate_of")]
-    return rows.select("removed_question", "removed_answer", "duplicate_of_question", "duplicate_of_answer", dedup.lexical_overlap(*both).alias("lexical_overlap"))
+    ratio = dedup.lexical_overlap(F.col("removed_question"), F.col("duplicate_of_question"))
+    return rows.select("removed_question", "duplicate_of_question", ratio.alias("lexical_overlap"))
 
 
 @query("""WITH known AS (SELECT round(similarity * 10000)::BIGINT AS s, lexical_overlap FROM duplicate_pairs WHERE similarity IS NOT NULL)

@@ -84,6 +84,12 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Delete all that was ``cut`` so far; results built on it can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast after counting that it has at most ``limit`` rows.
 

@@ -58,7 +58,7 @@ def test_keep_rule_without_floors(spark):
 
 
 @pytest.mark.parametrize("scores,said,want", [
-    ((2, 2, 2), None, None), ((1, 2, 2), "made up", "UNGROUNDED (groundedness 1/2): made up"), ((0, 2, 2), " ", "UNGROUNDED (groundedness 0/2): answer not supported by the passage"),
+    ((2, 2, 2), None, None), ((1, 2, 2), "made up", "UNGROUNDED (groundedness 1/2): made up"), ((0, 2, 2), " ", "UNGROUNDED (groundedness 0/2): claims not traceable to passage"),
     ((2, 0, 0), "vague", "below floor on specificity 0/1, completeness 0/1: vague"), ((2, 2, 0), None, "below floor on completeness 0/1"), (None, None, rules.NOT_ASSESSED),
 ])
 def test_reject_reasons(spark, scores, said, want):
@@ -90,7 +90,7 @@ def test_types(spark):
         assert one(spark, raw, rules.normal_type) == want
 
 
-@pytest.mark.parametrize("check,want,note", [((True, True, True), "passed", None), ((False, True, True), "failed", "the passage answers it"), ((True, False, True), "failed", "not a plausible question"), ((False, False, False), "failed", "answer is not the fixed refusal"), ((None, True, True), "not_assessed", None), (None, "not_assessed", None)])
+@pytest.mark.parametrize("check,want,note", [((True, True, True), "passed", None), ((False, True, True), "failed", "passage does answer the question"), ((True, False, True), "failed", "question is off-topic or implausible"), ((False, False, False), "failed", "answer is not the fixed abstention string"), ((None, True, True), "not_assessed", None), (None, "not_assessed", None)])
 def test_abstention(spark, check, want, note):
     df = spark.createDataFrame([(check,)], "c struct<unanswerable boolean, plausible boolean, abstention_answer boolean>")
     assert df.select(rules.abstention_outcome(F.col("c")), rules.abstention_note(F.col("c"))).first() == (want, note)

@@ -126,7 +126,8 @@ def test_judging(spark):
     rows = [(True, (2, 2, 2), None, None), (True, (0, 2, 2), "no", None), (True, None, None, None), (False, None, None, (True, True, True)), (False, None, None, (True, False, True)), (False, None, None, None)]
     out = judging.graded(spark.createDataFrame(rows, f"answerable boolean, scores {SCORES}, reason string, check struct<unanswerable boolean, plausible boolean, abstention_answer boolean>")).collect()
     assert [(x.outcome, x.quality_score) for x in out] == [("kept", 6), ("rejected", 4), ("not_assessed", None), ("kept", None), ("rejected", None), ("not_assessed", None)]
-    assert out[4].reject_reason == "abstention check failed: not a plausible question"
+    assert out[5].reject_reason == out[2].reject_reason == "judge call failed - not assessed" and out[3].reject_reason is None
+    assert out[4].reject_reason == "abstention check failed: question is off-topic or implausible"
 
 
 def greedy(v, t, numbers=None):
