@@ -18,7 +18,7 @@ import numpy as np
 
 FAN = 8
 #: Pairs of query and node that are looked at in one step.
-FRONTIER = 2_000_000
+FRONTIER = 500_000
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 

@@ -31,9 +31,9 @@ from sievework.llm.contamination import _lists
 from sievework.llm.gray_index import GrayForest, gray_rank
 from sievework.session import broadcast_if_small, cut, skew_join
 
-#: Counters of the sketch by which words are ordered.
-SKETCH = 1 << 16
-#: A word counted this often, and 16 times the mean counter, has its block divided; so at most SKETCH / 16 counters do.
+#: Counters of the sketch by which words are ordered, at least and at most; in between, one for 64 records.
+SKETCH, MOST_SKETCH = 1 << 16, 1 << 22
+#: A word counted this often, and 16 times the mean counter, has its block divided; so at most a 16th of the counters do.
 HOT_WORD = 4096
 #: Records in a block that one search takes at a time.
 BLOCK_ROWS = 200_000
@@ -66,7 +66,7 @@ def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, t: Fraction, seen: set[
     row, values = row[keep], values[keep]
     n = np.where(fresh, n, 0)
     starts = np.cumsum(n) - n
-    order = np.lexsort((values, counts[(values % SKETCH).astype(np.int64)], row))
+    order = np.lexsort((values, counts[(values % np.uint64(len(counts))).astype(np.int64)], row))
     values = values[order]  # rows stay together
     bit = np.uint64(1) << (values >> np.uint64(58))
     # xor of the bits from each word to the row's last
@@ -80,7 +80,7 @@ def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, t: Fraction, seen: set[
     word = values[take]
     size = n[row]
     hot = max(hot_word, 16 * int(counts.mean()))
-    times = counts[(word % SKETCH).astype(np.int64)]
+    times = counts[(word % np.uint64(len(counts))).astype(np.int64)]
     cells = -(-times // hot)
     out = [word.view(np.int64), k1[row], suffix[take].view(np.int64), size.astype(np.int32), at.astype(np.int32)]
     if (cells > 1).any():  # members of a hot block in cells of a triangle, each pair of parts in one
@@ -181,11 +181,12 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column
     hashed = rows.select("id", F.sort_array(F.array_distinct(F.transform(words(F.col("t")), lambda w: F.xxhash64(w)))).alias("w"), number_set(F.col("n")).alias("nums"))
     keyed = hashed.select("id", F.xxhash64("w", "nums").alias("k1"), F.xxhash64(F.lit(7), F.col("nums"), F.col("w")).alias("k2"), "w")
 
-    bucket = F.explode(F.transform(words(F.col("t")), lambda w: F.pmod(F.xxhash64(w), F.lit(SKETCH)).cast("int"))).alias("x")
-    counted = rows.select(bucket).groupBy("x").count().toPandas()  # at most SKETCH rows
-    counts = np.zeros(SKETCH, np.int64)
+    width = min(MOST_SKETCH, max(SKETCH, 1 << (rows.count() // 64).bit_length()))
+    bucket = F.explode(F.transform(words(F.col("t")), lambda w: F.pmod(F.xxhash64(w), F.lit(width)).cast("int"))).alias("x")
+    counted = rows.select(bucket).groupBy("x").count().toPandas()  # at most ``width`` rows
+    counts = np.zeros(width, np.int64)
     counts[counted["x"].to_numpy()] = counted["count"].to_numpy()
-    # a hash is unsigned here and signed in pmod; both give the same rest as SKETCH is a power of two
+    # a hash is unsigned here and signed in pmod; both give the same rest as the width is a power of two
     sent = spark.sparkContext.broadcast(counts)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
