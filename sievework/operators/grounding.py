@@ -35,20 +35,22 @@ def checked(pairs: DataFrame, answer: str = "answer", passage: str = "passage")
     return found.withColumns({"lexical_overlap": F.round("overlap", 3), "grounding_band": band(F.col("overlap"))}).drop("_a", "_p", "_n")
 
 
-def checked_by_page(pairs: DataFrame, pages: DataFrame, key: str) -> DataFrame:
+def checked_by_page(pairs: DataFrame, pages: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:
     """The same findings, in numbers, for pairs whose passage is all text of their source and page.
 
     ``pairs`` has key, source, page (from 1) and answer; ``pages`` has source, page and text.
     Pages are compared word by word, so that a page with very many rows is never put together:
-    ``key, passage_found, answer_words, matched_words, answer_numbers, matched_numbers``.
+    ``key, passage_found, answer_words, matched_words, answer_numbers, matched_numbers``, and the
+    small columns ``keep`` of the pair.
     """
+    own = [F.col(c) for c in (key, *(keep or []))]
     place = [source_name(F.col("source")).alias("s"), F.col("page").alias("p")]
     terms = lambda t: F.explode(F.concat(F.transform(content_words(t), lambda w: F.concat(F.lit("w"), w)), F.transform(plain_numbers(t), lambda n: F.concat(F.lit("n"), n)), F.array(F.lit("page"))))
     have = pages.select(*place, terms(F.col("text")).alias("term")).filter("s is not null and p is not null").distinct().withColumn("there", F.lit(True))
-    want = pairs.select(F.col(key), *place, terms(F.col("answer")).alias("term"))
+    want = pairs.select(*own, *place, terms(F.col("answer")).alias("term"))
     joined = want.join(have, ["s", "p", "term"], "left")
     is_word, is_number, there = F.col("term").startswith("w"), F.col("term").startswith("n"), F.col("there").isNotNull()
-    return joined.groupBy(key).agg(
+    return joined.groupBy(*own).agg(
         F.bool_or((F.col("term") == "page") & there).alias("passage_found"),
         F.count_if(is_word).alias("answer_words"), F.count_if(is_word & there).alias("matched_words"), F.count_if(is_number).alias("answer_numbers"), F.count_if(is_number & there).alias("matched_numbers"),
     )

@@ -66,10 +66,10 @@ _KEEP = f"coalesce(({_TOTAL}) >= 4 AND {_FLOORS}, false)"
 _OUTCOME = f"CASE WHEN ({_TOTAL}) IS NULL THEN 'not_assessed' WHEN {_KEEP} THEN 'kept' ELSE 'rejected' END"
 
 
-def _pairs(s: SparkSession, d: str) -> DataFrame:
-    """Each pair once, as last delivered."""
+def _pairs(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Each pair once, as last delivered, with the columns asked for (all if none is), so that no others are read."""
     t = table(s, d, "synthetic_dataset").filter("pair_id is not null")
-    rest = [c for c in t.columns if c not in ("pair_id", "written_at")]
+    rest = list(columns) or [c for c in t.columns if c not in ("pair_id", "written_at")]
     return t.groupBy("pair_id").agg(F.max(F.struct("written_at", *rest)).alias("r")).select("pair_id", *[f"r.{c}" for c in rest])
 
 
@@ -149,12 +149,12 @@ _TYPE = f"CASE WHEN lower({_strip('question_type')}) IN ('factual', 'definitiona
 
 @query(f"""WITH {_PAIRS} SELECT CASE WHEN NOT ({_LONG}) THEN 'too_short' WHEN {_LEANS} THEN 'leans_on_passage' WHEN {_ABOUT} THEN 'about_the_document' ELSE 'passed' END AS gate, count(*) AS pairs FROM pairs GROUP BY 1""")
 def question_gates(s: SparkSession, d: str) -> DataFrame:
-    return generation.gate_report(_pairs(s, d))
+    return generation.gate_report(_pairs(s, d, "question", "answer"))
 
 
 @query(f"WITH {_PAIRS} SELECT {_TYPE} AS question_type, count(*) AS pairs FROM pairs GROUP BY 1")
 def question_types_normalised(s: SparkSession, d: str) -> DataFrame:
-    return _pairs(s, d).groupBy(normal_type(F.col("question_type")).alias("question_type")).agg(F.count("*").alias("pairs"))
+    return _pairs(s, d, "question_type").groupBy(normal_type(F.col("question_type")).alias("question_type")).agg(F.count("*").alias("pairs"))
 
 
 @query(f"SELECT doc_id, coalesce({_name()}, '?') || '|' || coalesce(page, 0) || '|0' AS key FROM documents")
@@ -165,7 +165,7 @@ def chunk_keys(s: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_PAIRS} SELECT pair_id, {_strip('question')} AS question, md5({_strip('answer')}) AS answer_digest, {_TYPE} AS question_type FROM pairs WHERE {_LONG} AND NOT {_LEANS} AND NOT {_ABOUT}")
 def parsed_responses(s: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.lit("Here they are:\n"), F.to_json(F.array(F.struct("question", "answer", "question_type"))), F.lit("\nDone."))
-    got = generation.parsed_pairs(_pairs(s, d).select("pair_id", raw.alias("raw")), keep=["pair_id"])
+    got = generation.parsed_pairs(_pairs(s, d, "question", "answer", "question_type").select("pair_id", raw.alias("raw")), keep=["pair_id"])
     return got.select("pair_id", "question", F.md5(F.col("answer").cast("binary")).alias("answer_digest"), "question_type")
 
 
@@ -181,7 +181,7 @@ def abstention_exact_pick(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_PAIRS} SELECT {_TYPE} AS question_type, count_if(coalesce(answerable, true)) AS answerable_pairs, count_if(NOT coalesce(answerable, true)) AS unanswerable_pairs FROM pairs GROUP BY 1")
 def generation_summary(s: SparkSession, d: str) -> DataFrame:
-    return generation.generation_summary(_pairs(s, d).withColumns({"question_type": normal_type(F.col("question_type")), "answerable": or_true(F.col("answerable"))}))
+    return generation.generation_summary(_pairs(s, d, "question_type", "answerable").withColumns({"question_type": normal_type(F.col("question_type")), "answerable": or_true(F.col("answerable"))}))
 
 
 # ---- judging
@@ -209,7 +209,7 @@ def reject_reasons(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_PAIRS}, graded AS (SELECT answerable, quality_score FROM pairs UNION ALL SELECT answerable, quality_score FROM rejected_pairs) SELECT coalesce(answerable, true) AS answerable, count(*) AS pairs, count(quality_score) AS scored, sum(quality_score) AS score_sum FROM graded GROUP BY 1")
 def validation_summary(s: SparkSession, d: str) -> DataFrame:
-    both = _pairs(s, d).select("answerable", "quality_score").unionByName(table(s, d, "rejected_pairs").select("answerable", "quality_score"))
+    both = _pairs(s, d, "answerable", "quality_score").select("answerable", "quality_score").unionByName(table(s, d, "rejected_pairs").select("answerable", "quality_score"))
     return statistics.summary_by_answerable(both)
 
 
@@ -281,7 +281,7 @@ stays AS (SELECT unnest(kept) AS vec_id FROM (SELECT kept FROM scan ORDER BY pos
 
 @query(f"WITH {_PAIRS} SELECT pair_id, array_to_string({_NUMBERS.format('answer')}, ' ') AS numbers FROM pairs")
 def answer_number_sets(s: SparkSession, d: str) -> DataFrame:
-    return _pairs(s, d).select("pair_id", F.array_join(dedup.answer_numbers(F.col("answer")), " ").alias("numbers"))
+    return _pairs(s, d, "answer").select("pair_id", F.array_join(dedup.answer_numbers(F.col("answer")), " ").alias("numbers"))
 
 
 def _embedding_edges(s: SparkSession, d: str, threshold: float = 0.35, guarded: bool = False) -> DataFrame:
@@ -335,7 +335,7 @@ _OPENER = "nullif(lower(array_to_string(regexp_extract_all(coalesce(question, ''
 @query(f"""WITH {_PAIRS}, o AS (SELECT {_OPENER} AS opener, count(*) AS n, min(pair_id) AS first FROM pairs WHERE {_OPENER} IS NOT NULL GROUP BY 1)
 SELECT opener, n, (SELECT sum(n) FROM o) AS total, (SELECT count(*) FROM o) AS distinct_openers FROM o ORDER BY n DESC, first LIMIT 12""")
 def opener_diversity(s: SparkSession, d: str) -> DataFrame:
-    return dedup.opener_diversity(_pairs(s, d), F.col("pair_id"))
+    return dedup.opener_diversity(_pairs(s, d, "question"), F.col("pair_id"))
 
 
 @query()
@@ -371,11 +371,10 @@ _RAW = "CASE WHEN answer_words = 0 THEN 1.0::DOUBLE ELSE matched_words::DOUBLE /
 
 
 def _by_page(s: SparkSession, d: str) -> DataFrame:
-    pairs = _pairs(s, d).filter(or_true(F.col("answerable")))
-    found = grounding.checked_by_page(pairs, table(s, d, "documents"), "pair_id")
+    pairs = _pairs(s, d, "answer", "source", "page", "question_type", "answerable", "quality_score").filter(or_true(F.col("answerable")))
+    found = grounding.checked_by_page(pairs, table(s, d, "documents"), "pair_id", ["quality_score", "question_type"])
     raw = grounding.raw_overlap(F.col("matched_words"), F.col("answer_words"))
-    wide = found.join(pairs.select("pair_id", "quality_score", "question_type"), "pair_id")
-    return wide.withColumns({"overlap": raw, "lexical_overlap": F.round(raw, 3), "grounding_band": grounding.band(raw), "has_unsupported_number": F.col("matched_numbers") < F.col("answer_numbers")})
+    return found.withColumns({"overlap": raw, "lexical_overlap": F.round(raw, 3), "grounding_band": grounding.band(raw), "has_unsupported_number": F.col("matched_numbers") < F.col("answer_numbers")})
 
 
 @query(f"{_BY_PAGE} SELECT pair_id, passage_found, answer_words, matched_words, answer_numbers, matched_numbers FROM found")
@@ -418,7 +417,7 @@ _COUNTS = f"""WITH {_PAIRS}, one AS (
 
 @query(f"{_COUNTS} SELECT * FROM counted")
 def stats_counts(s: SparkSession, d: str) -> DataFrame:
-    return statistics.counts(_pairs(s, d), table(s, d, "rejected_pairs"), table(s, d, "duplicate_pairs"))
+    return statistics.counts(_pairs(s, d, "answerable"), table(s, d, "rejected_pairs"), table(s, d, "duplicate_pairs"))
 
 
 @query(f"""{_COUNTS} SELECT validated * 1000 // assessed AS pass_rate, duplicates * 1000 // greatest(validated, 1) AS duplicate_rate, final * 1000 // greatest(raw, 1) AS yield_rate, unassessed * 1000 // greatest(raw, 1) AS unassessed_rate, judge_failures = 0 AS complete FROM counted""")
@@ -428,12 +427,12 @@ def stats_rates(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_PAIRS} SELECT count(quality_score) AS scored, sum(quality_score) AS score_sum, min(quality_score) AS least, max(quality_score) AS most FROM pairs")
 def quality_stats(s: SparkSession, d: str) -> DataFrame:
-    return statistics.quality(_pairs(s, d))
+    return statistics.quality(_pairs(s, d, "quality_score"))
 
 
 @query(f"WITH {_PAIRS} SELECT quality_score, count(*) AS pairs FROM pairs GROUP BY 1")
 def score_distribution(s: SparkSession, d: str) -> DataFrame:
-    return statistics.score_distribution(_pairs(s, d))
+    return statistics.score_distribution(_pairs(s, d, "quality_score"))
 
 
 @query("SELECT criterion, count(*) AS pairs, sum(score) AS score_sum, round(avg(score), 3) AS mean_score FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS criterion, scores.{k} AS score FROM rejected_pairs" for k in ("groundedness", "specificity", "completeness")) + ") WHERE score IS NOT NULL GROUP BY 1")
@@ -443,17 +442,17 @@ def sub_scores(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_PAIRS} SELECT {_name()} AS source, count(*) AS pairs FROM pairs GROUP BY 1")
 def pairs_per_source(s: SparkSession, d: str) -> DataFrame:
-    return statistics.per_source(_pairs(s, d))
+    return statistics.per_source(_pairs(s, d, "source"))
 
 
 @query(f"WITH {_PAIRS} SELECT lower(trim(question_type, ' ')) AS question_type, count(*) AS pairs FROM pairs GROUP BY 1")
 def pairs_per_type(s: SparkSession, d: str) -> DataFrame:
-    return statistics.per_type(_pairs(s, d))
+    return statistics.per_type(_pairs(s, d, "question_type"))
 
 
 @query(f"WITH {_PAIRS} SELECT {_CHECK} AS check_outcome, in_dataset, question IN (SELECT question FROM pairs WHERE question IS NOT NULL) AS now_in_dataset, count(*) AS pairs FROM unanswerable_pairs GROUP BY ALL")
 def abstention_in_dataset(s: SparkSession, d: str) -> DataFrame:
-    return statistics.abstention_report(table(s, d, "unanswerable_pairs"), _pairs(s, d)).groupBy("check_outcome", "in_dataset", "now_in_dataset").agg(F.count("*").alias("pairs"))
+    return statistics.abstention_report(table(s, d, "unanswerable_pairs"), _pairs(s, d, "question")).groupBy("check_outcome", "in_dataset", "now_in_dataset").agg(F.count("*").alias("pairs"))
 
 
 _CLINIC = " OR ".join(f"contains(lower(coalesce(source, '')), '{k}')" for k in statistics.CLINICAL)
@@ -461,7 +460,7 @@ _CLINIC = " OR ".join(f"contains(lower(coalesce(source, '')), '{k}')" for k in s
 
 @query(f"""WITH {_PAIRS} SELECT pair_id, 'system,user,assistant' AS roles, (SELECT CASE WHEN bool_or({_CLINIC}) THEN '{_q(statistics.CLINICAL_SYSTEM)}' ELSE '{_q(statistics.SYSTEM)}' END FROM pairs) AS system, question AS user_turn, answer AS assistant_turn, coalesce(answerable, true) AS answerable FROM pairs""")
 def chatml_records(s: SparkSession, d: str) -> DataFrame:
-    m = statistics.with_messages(_pairs(s, d))
+    m = statistics.with_messages(_pairs(s, d, "question", "answer", "source", "answerable"))
     return m.select("pair_id", F.array_join(F.transform("messages", lambda x: x["role"]), ",").alias("roles"), F.col("messages")[0]["content"].alias("system"), F.col("messages")[1]["content"].alias("user_turn"), F.col("messages")[2]["content"].alias("assistant_turn"), or_true(F.col("answerable")).alias("answerable"))
 
 
@@ -528,7 +527,7 @@ def constant_raters(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def seeded_sample(s: SparkSession, d: str) -> DataFrame:
-    return agreement.seeded_sample(_pairs(s, d).filter("quality_score is not null"), [F.col("question"), F.col("page"), F.col("pair_id")]).select("draw", "pair_id")
+    return agreement.seeded_sample(_pairs(s, d, "question", "page", "quality_score").filter("quality_score is not null"), [F.col("question"), F.col("page"), F.col("pair_id")]).select("draw", "pair_id")
 
 
 # ---- reading
@@ -536,22 +535,22 @@ def seeded_sample(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_PAIRS} SELECT pair_id FROM pairs WHERE (coalesce(answerable, true) AND coalesce(quality_score, 0) >= 4 AND question_type IN ('factual', 'procedural')) OR (NOT coalesce(answerable, true) AND question_type IN ('factual', 'procedural'))")
 def explorer_filter(s: SparkSession, d: str) -> DataFrame:
-    return _pairs(s, d).filter(explorer.explorer_filter(4, ["answerable", "abstention"], ["factual", "procedural"])).select("pair_id")
+    return _pairs(s, d, "answerable", "quality_score", "question_type").filter(explorer.explorer_filter(4, ["answerable", "abstention"], ["factual", "procedural"])).select("pair_id")
 
 
 @query(f"WITH {_PAIRS} SELECT pair_id FROM pairs WHERE regexp_matches(lower(coalesce(question, '')), 'moisture|dryer') OR regexp_matches(lower(coalesce(answer, '')), 'moisture|dryer')")
 def explorer_search(s: SparkSession, d: str) -> DataFrame:
-    return _pairs(s, d).filter(explorer.search("Moisture|Dryer")).select("pair_id")
+    return _pairs(s, d, "question", "answer").filter(explorer.search("Moisture|Dryer")).select("pair_id")
 
 
 @query(f"WITH {_PAIRS} SELECT ord, pair_id, question FROM (SELECT row_number() OVER (ORDER BY pair_id) - 1 AS ord, pair_id, question FROM pairs) WHERE ord >= 50 AND ord < 75")
 def explorer_page(s: SparkSession, d: str) -> DataFrame:
-    return explorer.page_of(_pairs(s, d).select("pair_id", "question"), [F.col("pair_id")], 2)
+    return explorer.page_of(_pairs(s, d, "question").select("pair_id", "question"), [F.col("pair_id")], 2)
 
 
 @query(f"WITH {_PAIRS} SELECT count(*) AS all_pairs, count_if(coalesce(answerable, true) AND coalesce(quality_score, 0) >= 5) AS shown, count_if(coalesce(answerable, true) AND quality_score >= 5) AS scored, coalesce(sum(quality_score) FILTER (coalesce(answerable, true) AND quality_score >= 5), 0) AS score_sum FROM pairs")
 def view_metrics(s: SparkSession, d: str) -> DataFrame:
-    return explorer.view_metrics(_pairs(s, d), explorer.explorer_filter(5, ["answerable"]))
+    return explorer.view_metrics(_pairs(s, d, "answerable", "quality_score"), explorer.explorer_filter(5, ["answerable"]))
 
 
 @query("SELECT question, answer, quality_score, reject_reason FROM rejected_pairs WHERE quality_score IS NOT NULL ORDER BY quality_score, question, answer, reject_reason NULLS FIRST LIMIT 20")
@@ -561,7 +560,7 @@ def worst_rejected(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_PAIRS} SELECT pair_id, quality_score FROM pairs ORDER BY quality_score DESC NULLS LAST, pair_id LIMIT 20")
 def best_kept(s: SparkSession, d: str) -> DataFrame:
-    return explorer.best_kept(_pairs(s, d), [F.col("pair_id")]).select("pair_id", "quality_score")
+    return explorer.best_kept(_pairs(s, d, "quality_score"), [F.col("pair_id")]).select("pair_id", "quality_score")
 
 
 @query("SELECT criterion, score, count(*) AS pairs FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS criterion, scores.{k} AS score FROM rejected_pairs" for k in ("groundedness", "specificity", "completeness")) + ") WHERE score IN (0, 1) GROUP BY 1, 2")
@@ -586,7 +585,7 @@ def survival_funnel(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_PAIRS}, g AS (SELECT quality_score AS q FROM pairs UNION ALL SELECT quality_score FROM rejected_pairs) SELECT count(q) AS scored, count_if(q = 6) AS full, count(DISTINCT q) AS scores_used, count_if(q = 6) * 4 > count(q) * 3 AS lenient FROM g")
 def judge_leniency(s: SparkSession, d: str) -> DataFrame:
-    return explorer.leniency(_pairs(s, d).select("quality_score").unionByName(table(s, d, "rejected_pairs").select("quality_score")))
+    return explorer.leniency(_pairs(s, d, "quality_score").select("quality_score").unionByName(table(s, d, "rejected_pairs").select("quality_score")))
 
 
 @query("SELECT count(*) AS sampled, count(l.doc_id) AS labelled, min(d.doc_id) FILTER (l.doc_id IS NULL) AS first_open FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM content_labels WHERE category IS NOT NULL) l ON l.doc_id = d.doc_id")
@@ -596,7 +595,7 @@ def labelled_progress(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_PAIRS} SELECT DISTINCT {_name()} AS source FROM pairs WHERE {_name()} IS NOT NULL")
 def distinct_sources(s: SparkSession, d: str) -> DataFrame:
-    return _pairs(s, d).select(source_name(F.col("source")).alias("source")).filter("source is not null").distinct()
+    return _pairs(s, d, "source").select(source_name(F.col("source")).alias("source")).filter("source is not null").distinct()
 
 
 # ---- cost and progress
@@ -633,7 +632,7 @@ def progress_plan(s: SparkSession, d: str) -> DataFrame:
 
 def entry(s: SparkSession, d: str) -> DataFrame:
     """Pairs by source with their outcome, kept, rejected or not assessed."""
-    kept = _pairs(s, d).select("source", F.lit("kept").alias("outcome"))
+    kept = _pairs(s, d, "source").select("source", F.lit("kept").alias("outcome"))
     graded = table(s, d, "rejected_pairs").select("source", F.when(F.col("quality_score").isNull(), "not_assessed").otherwise("rejected").alias("outcome"))
     return kept.unionByName(graded).groupBy(source_name(F.col("source")).alias("source"), "outcome").agg(F.count("*").alias("pairs"))
 
