@@ -24,12 +24,16 @@ def kappa(ratings: DataFrame, a: str, b: str) -> DataFrame:
     Kappas are null, and ``constant`` true, where either rater gave one label only.
     """
     table = cut(contingency(ratings, a, b))
-    rows = table.groupBy("x").agg(F.sum("n").alias("rn"))
-    cols = table.groupBy("y").agg(F.sum("n").alias("cn"))
-    whole = table.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("x") == F.col("y"), F.col("n"))), F.lit(0)).alias("agree"), F.sum(F.col("n") * F.pow(F.col("x") - F.col("y"), F.lit(2))).alias("wo"))
-    grid = rows.crossJoin(cols)  # labels by labels
-    chance = grid.agg(F.sum(F.when(F.col("x") == F.col("y"), F.col("rn") * F.col("cn"))).alias("by_chance"), F.sum(F.col("rn") * F.col("cn") * F.pow(F.col("x") - F.col("y"), F.lit(2))).alias("we"), F.countDistinct("x").alias("kx"), F.countDistinct("y").alias("ky"))
-    one = whole.crossJoin(chance)  # one row each
+    rows = table.groupBy(F.col("x").alias("l")).agg(F.sum("n").alias("rn"))
+    cols = table.groupBy(F.col("y").alias("l")).agg(F.sum("n").alias("cn"))
+    labels = rows.join(cols, "l", "full").select(F.col("l").cast("double").alias("l"), F.coalesce("rn", F.lit(0)).alias("rn"), F.coalesce("cn", F.lit(0)).alias("cn"))
+    # what differs by chance, squared, follows from sums over the labels; no grid of labels is made
+    chance = labels.agg(
+        F.sum(F.col("rn") * F.col("cn")).alias("by_chance"), F.count_if(F.col("rn") > 0).alias("kx"), F.count_if(F.col("cn") > 0).alias("ky"), F.coalesce(F.sum("rn"), F.lit(0)).alias("n"),
+        (F.sum(F.col("rn") * F.col("l") * F.col("l")) * F.sum("cn") - 2 * F.sum(F.col("rn") * F.col("l")) * F.sum(F.col("cn") * F.col("l")) + F.sum("rn") * F.sum(F.col("cn") * F.col("l") * F.col("l"))).alias("we"),
+    )
+    seen = table.agg(F.coalesce(F.sum(F.when(F.col("x") == F.col("y"), F.col("n"))), F.lit(0)).alias("agree"), F.sum(F.col("n") * F.pow(F.col("x") - F.col("y"), F.lit(2))).alias("wo"))
+    one = chance.crossJoin(seen)  # one row each
     constant = (F.least("kx", "ky") < 2) | (F.col("n") == 0)
     n = F.col("n").cast("double")
     po, pe = F.col("agree") / n, F.coalesce(F.col("by_chance"), F.lit(0)) / (n * n)

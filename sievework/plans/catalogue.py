@@ -482,6 +482,9 @@ def threshold_sweep(s: SparkSession, d: str) -> DataFrame:
     return sweeps.threshold_sweep(table(s, d, "rejected_pairs"))
 
 
+_SWEPT = (0.30, 0.35, 0.40)
+
+
 @query()
 def swept_dedup(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "rejected_pairs").filter("scores is not null").distinct()
@@ -492,7 +495,19 @@ def swept_dedup(s: SparkSession, d: str) -> DataFrame:
 _SWEPT = (0.30, 0.35, 0.40)
 
 
-@query()
+def _sweep_sql() -> str:
+    """The recursive scan, once per threshold."""
+    parts, picks = [_EDGES.replace("0.35", str(min(_SWEPT)))], []
+    for k, t in enumerate(_SWEPT):
+        own = _GREEDY.format(f"WHERE similarity >= {t}")
+        for name in ("near", "scan", "stays"):
+            own = own.replace(f"{name} ", f"{name}{k} ").replace(f"{name}(", f"{name}{k}(").replace(f"{name}.", f"{name}{k}.")
+        parts.append(own)
+        picks.append(f"SELECT {t}::DOUBLE AS threshold, (SELECT count(*) FROM stays{k}) AS survivors, (SELECT count(*) FROM embeddings) - (SELECT count(*) FROM stays{k}) AS removed")
+    return "WITH RECURSIVE " + ", ".join(parts) + " " + " UNION ALL ".join(picks)
+
+
+@query(_sweep_sql())
 def dedup_sweep(s: SparkSession, d: str) -> DataFrame:
     return sweeps.dedup_sweep(table(s, d, "embeddings"), "vec_id", "embedding", _SWEPT)
 
