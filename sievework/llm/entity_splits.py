@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.text import source_name, trim_blanks
@@ -72,11 +72,11 @@ def split_by_group(df: DataFrame, id_col: str, source_col: str, files: DataFrame
     groups = source_groups(files)
     records = df.select(F.col(f"`{id_col}`").alias("id"), source_name(F.col(f"`{source_col}`")).alias("source")).filter("id is not null").groupBy("id").agg(F.min("source").alias("source"))
     linked = records.join(broadcast_if_small(groups), "source", "left").withColumn("group_source", F.coalesce("group_source", "source"))
-    whole = Window.orderBy("split_name").rowsBetween(Window.unboundedPreceding, 0)
-    good = targets.filter("target_pct > 0").groupBy("split_name").agg(F.sum("target_pct").alias("pct"))
-    ranges = good.crossJoin(good.agg(F.sum("pct").alias("all"))).select("split_name", F.sum("pct").over(whole).alias("upto"), "pct", "all")
-    ranges = ranges.select("split_name", F.floor((F.col("upto") - F.col("pct")) * 10_000 / F.col("all")).alias("low"), F.floor(F.col("upto") * 10_000 / F.col("all")).alias("high"))
-    rows = [(r.split_name, r.low, r.high) for r in ranges.collect()]  # one row per split
+    good = targets.filter("target_pct > 0").groupBy("split_name").agg(F.sum("target_pct").alias("pct")).orderBy("split_name").collect()  # one row a split
+    whole, upto, rows = sum(r.pct for r in good), 0, []
+    for r in good:
+        rows.append((r.split_name, upto * 10_000 // whole, (upto + r.pct) * 10_000 // whole))
+        upto += r.pct
     key = F.coalesce(F.col("group_source"), F.concat(F.lit("id:"), F.col("id").cast("string")))
     share, name = hash_share(key), F.lit(None).cast("string")
     for split, low, high in rows:
