@@ -67,8 +67,8 @@ often AS (SELECT word, count(*) AS df FROM long GROUP BY word),
 ranked AS (SELECT pair_id, size, word, row_number() OVER (PARTITION BY pair_id ORDER BY df, word) AS nth FROM long JOIN often USING (word)),
 rare AS (SELECT pair_id, word FROM ranked WHERE nth <= size - (4 * size + 4) // 5 + 1),
 near AS (SELECT DISTINCT a.pair_id AS a, b.pair_id AS b FROM rare a JOIN rare b USING (word) WHERE a.pair_id < b.pair_id),
-both AS (SELECT a, b, x.n AS xn, y.n AS yn, len(x.w) + len(y.w) AS total, len(list_intersect(x.w, y.w)) AS shared FROM near JOIN sets x ON x.pair_id = a JOIN sets y ON y.pair_id = b)
-SELECT a AS pair_id_a, b AS pair_id_b FROM both WHERE 5 * shared >= 4 * (total - shared) AND NOT (len(xn) > 0 AND len(yn) > 0 AND xn <> yn)""",
+pairwise AS (SELECT a, b, x.n AS xn, y.n AS yn, len(x.w) + len(y.w) AS total, len(list_intersect(x.w, y.w)) AS shared FROM near JOIN sets x ON x.pair_id = a JOIN sets y ON y.pair_id = b)
+SELECT a AS pair_id_a, b AS pair_id_b FROM pairwise WHERE 5 * shared >= 4 * (total - shared) AND NOT (len(xn) > 0 AND len(yn) > 0 AND xn <> yn)""",
         "p5_found": f"WITH RECURSIVE {_GROUPS}\nSELECT source, group_source FROM groups WHERE members > 1",
         "p5_split": f"""
 WITH RECURSIVE {_GROUPS},
