@@ -492,9 +492,6 @@ def swept_dedup(s: SparkSession, d: str) -> DataFrame:
     return sweeps.swept_dedup(cut(graded.withColumn("vector", dedup.hashed_vector(dedup.dedup_text(F.col("question"), F.col("answer"))))), "ord", "vector")
 
 
-_SWEPT = (0.30, 0.35, 0.40)
-
-
 def _sweep_sql() -> str:
     """The recursive scan, once per threshold."""
     parts, picks = [_EDGES.replace("0.35", str(min(_SWEPT)))], []
