@@ -99,15 +99,15 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def skew_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", salts: int = 32, hot_rows: int = 200_000) -> DataFrame:
-    """Equi-join whose hot keys are spread over ``salts`` tasks.
+def skew_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", salts: int = 32, hot_rows: int = 200_000, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Equi-join, inner or left, whose hot keys are spread over ``salts`` tasks.
 
     ``big`` should be a table that is cheap to read again. If ``small`` is small it
     is broadcast. Otherwise keys with more than ``hot_rows`` rows in ``big`` (at most
     rows / hot_rows keys) are joined under a salt, on whose every value the rows of
     ``small`` with these keys are repeated; all other rows join as usual.
     """
-    marked = broadcast_if_small(small)
+    marked = broadcast_if_small(small, broadcast_rows)
     if marked is not small:
         return big.join(marked, on, how)
     hot = cut(big.groupBy(*on).count().filter(F.col("count") > hot_rows).select(*on))
