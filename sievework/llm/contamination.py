@@ -17,10 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions.text import words
+from sievework.llm.batches import steps
 from sievework.session import cut, skew_join
 
 #: Words of held-out fields up to which these are sent to every executor (8 bytes a word and fingerprint).
 BROADCAST_WORDS = 2_000_000
+#: Words of documents that a task looks at at a time.
+STEP_WORDS = 1_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -104,7 +107,7 @@ def _against_few(docs: DataFrame, fields: list[tuple[int, str, np.ndarray]], spa
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, places, fields = sent.value
-        for batch in batches:
+        for batch in steps(batches, 1, STEP_WORDS):
             ids = batch.column(0).to_numpy()
             values, offsets = _lists(batch.column(1))
             fps, at = _winnow_many(values, offsets, k, window)
@@ -128,7 +131,7 @@ def _fingerprints(df: DataFrame, span: int, k: int) -> DataFrame:
     """``id, fp, at`` of all texts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches, 1, STEP_WORDS):
             values, offsets = _lists(batch.column(1))
             fps, at = _winnow_many(values, offsets, k, span - k + 1)
             row = np.searchsorted(offsets, at, "right") - 1

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.text import number_set, words
+from sievework.llm.batches import steps
 from sievework.llm.contamination import _lists
 from sievework.llm.gray_index import GrayForest, gray_rank
 from sievework.session import broadcast_if_small, cut, skew_join
@@ -37,6 +38,8 @@ SKETCH, MOST_SKETCH = 1 << 16, 1 << 22
 HOT_WORD = 4096
 #: Records in a block that one search takes at a time.
 BLOCK_ROWS = 200_000
+#: Words that a task orders at a time.
+STEP_WORDS = 1_000_000
 #: Classes that a task remembers, so as to send each but once.
 SEEN = 500_000
 
@@ -191,7 +194,7 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in steps(batches, 1, STEP_WORDS):
             yield _prefixes(batch, sent.value, t, seen, hot_word)
 
     blocks = keyed.filter(F.size("w") > 0).select("k1", "w").mapInArrow(prefixes, _BLOCKS)

@@ -102,3 +102,13 @@ def test_gray_rank_neighbours_differ_in_one_bit():
     code = np.arange(1 << 10, dtype=np.uint64)
     order = code[np.argsort(gray_rank(code))]
     assert (np.bitwise_count(order[1:] ^ order[:-1]) == 1).all()
+
+
+def test_steps_cut_batches_by_size():
+    import pyarrow as pa
+
+    from sievework.llm.batches import steps
+
+    batch = pa.record_batch([pa.array(range(6)), pa.array(["aaa", None, "b" * 50, "", "cc", "dd"]), pa.array([[1], None, [1] * 9, [], [2, 2], [3]])], ["i", "s", "l"])
+    assert [b.num_rows for b in steps(iter([batch]), 1, 4)] == [2, 1, 3]
+    assert [b.column(0).to_pylist() for b in steps(iter([batch, batch.slice(0, 0)]), 2, 2)] == [[0, 1], [2], [3, 4], [5]]
