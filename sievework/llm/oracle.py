@@ -30,6 +30,29 @@ groups AS (SELECT x AS source, min(y) AS group_source, count(*) AS members FROM
 _WORDS = r"regexp_extract_all(lower(coalesce({}, '')), '[\p{{L}}\p{{N}}]+')"
 _WS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
+_NEAR = f"""WITH {_PAIRS},
+sets AS (
+  SELECT pair_id, list_distinct({_WORDS.format("coalesce(question, '') || ' ' || coalesce(answer, '')")}) AS w,
+    list_sort(list_distinct(list_transform(regexp_extract_all(coalesce(answer, ''), '[0-9]+(?:[.,][0-9]+)*'), lambda x: replace(x, ',', '')))) AS n
+  FROM pairs
+),
+long AS (SELECT pair_id, len(w) AS size, unnest(w) AS word FROM sets),
+often AS (SELECT word, count(*) AS df FROM long GROUP BY word),
+ranked AS (SELECT pair_id, size, word, row_number() OVER (PARTITION BY pair_id ORDER BY df, word) AS nth FROM long JOIN often USING (word)),
+rare AS (SELECT pair_id, word FROM ranked WHERE nth <= size - (4 * size + 4) // 5 + 1),
+near AS (SELECT DISTINCT a.pair_id AS a, b.pair_id AS b FROM rare a JOIN rare b USING (word) WHERE a.pair_id < b.pair_id),
+pairwise AS (SELECT a, b, x.n AS xn, y.n AS yn, len(x.w) + len(y.w) AS total, len(list_intersect(x.w, y.w)) AS shared FROM near JOIN sets x ON x.pair_id = a JOIN sets y ON y.pair_id = b)"""
+_SIMILAR = "5 * shared >= 4 * (total - shared) AND NOT (len(xn) > 0 AND len(yn) > 0 AND xn <> yn)"
+_RUNS = f"""WITH fields AS (
+  SELECT item_id, 'question' AS field, {_WORDS.format("question")} AS w FROM eval_items
+  UNION ALL SELECT item_id, 'answer', {_WORDS.format("answer")} FROM eval_items
+  UNION ALL SELECT item_id, 'passage', {_WORDS.format("passage")} FROM eval_items
+),
+theirs AS (SELECT item_id, field, j, array_to_string(w[j : j + 7], ' ') AS g FROM (SELECT item_id, field, w, unnest(range(1, len(w) - 6)) AS j FROM fields)),
+docs AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+ours AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs)),
+hits AS (SELECT doc_id, i, item_id, field, j FROM ours JOIN theirs USING (g))"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
@@ -56,19 +79,17 @@ WITH {_PAIRS}
 SELECT contributor, n, CASE WHEN contributor IS NULL THEN n ELSE least(n, (SELECT count(*) // 50 FROM pairs)) END AS kept
 FROM (SELECT {_SOURCE} AS contributor, count(*) AS n FROM pairs GROUP BY 1)""",
         "p3_found": f"""
-WITH {_PAIRS},
-sets AS (
-  SELECT pair_id, list_distinct({_WORDS.format("coalesce(question, '') || ' ' || coalesce(answer, '')")}) AS w,
-    list_sort(list_distinct(list_transform(regexp_extract_all(coalesce(answer, ''), '[0-9]+(?:[.,][0-9]+)*'), lambda x: replace(x, ',', '')))) AS n
-  FROM pairs
+{_NEAR}
+SELECT a AS pair_id_a, b AS pair_id_b FROM pairwise WHERE {_SIMILAR}""",
+        "p3_classes": f"""
+{_NEAR},
+classes AS (SELECT list_sort(w) AS w, n, min(pair_id) AS class_id, count(*) AS copies FROM sets GROUP BY 1, 2),
+named AS (SELECT pair_id, class_id, copies FROM sets s JOIN classes c ON list_sort(s.w) = c.w AND s.n = c.n),
+ends AS (
+  SELECT DISTINCT x.class_id AS p, y.class_id AS q FROM pairwise JOIN named x ON x.pair_id = a JOIN named y ON y.pair_id = b WHERE {_SIMILAR} AND x.class_id <> y.class_id
 ),
-long AS (SELECT pair_id, len(w) AS size, unnest(w) AS word FROM sets),
-often AS (SELECT word, count(*) AS df FROM long GROUP BY word),
-ranked AS (SELECT pair_id, size, word, row_number() OVER (PARTITION BY pair_id ORDER BY df, word) AS nth FROM long JOIN often USING (word)),
-rare AS (SELECT pair_id, word FROM ranked WHERE nth <= size - (4 * size + 4) // 5 + 1),
-near AS (SELECT DISTINCT a.pair_id AS a, b.pair_id AS b FROM rare a JOIN rare b USING (word) WHERE a.pair_id < b.pair_id),
-pairwise AS (SELECT a, b, x.n AS xn, y.n AS yn, len(x.w) + len(y.w) AS total, len(list_intersect(x.w, y.w)) AS shared FROM near JOIN sets x ON x.pair_id = a JOIN sets y ON y.pair_id = b)
-SELECT a AS pair_id_a, b AS pair_id_b FROM pairwise WHERE 5 * shared >= 4 * (total - shared) AND NOT (len(xn) > 0 AND len(yn) > 0 AND xn <> yn)""",
+links AS (SELECT class_id, count(*) AS links FROM (SELECT DISTINCT least(p, q), greatest(p, q), unnest([p, q]) AS class_id FROM ends) GROUP BY class_id)
+SELECT pair_id, class_id, copies, coalesce(links, 0) AS links FROM named LEFT JOIN links USING (class_id)""",
         "p5_found": f"WITH RECURSIVE {_GROUPS}\nSELECT source, group_source FROM groups WHERE members > 1",
         "p5_split": f"""
 WITH RECURSIVE {_GROUPS},
@@ -80,13 +101,11 @@ ranges AS (SELECT split_name, floor((upto - target_pct) * 10000 / whole) AS low,
 SELECT pair_id, split_name, group_source FROM shared LEFT JOIN ranges ON share >= low AND share < high""",
         "p6_found": rf"SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}{_WS}]+')) > 1024",
         "p7_found": f"""
-WITH fields AS (
-  SELECT item_id, {_WORDS.format("question")} AS w FROM eval_items
-  UNION ALL SELECT item_id, {_WORDS.format("answer")} FROM eval_items
-  UNION ALL SELECT item_id, {_WORDS.format("passage")} FROM eval_items
-),
-theirs AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 7], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS i FROM fields)),
-docs AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
-ours AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs))
-SELECT DISTINCT doc_id, item_id FROM ours JOIN theirs USING (g)""",
+{_RUNS}
+SELECT DISTINCT doc_id, item_id FROM hits""",
+        "p7_spans": f"""
+{_RUNS},
+islands AS (SELECT doc_id, item_id, field, i - j AS d, i, i - row_number() OVER (PARTITION BY doc_id, item_id, field, i - j ORDER BY i) AS island FROM hits),
+spans AS (SELECT doc_id, item_id, field, min(i) - 1 AS start, count(*) + 7 AS length FROM islands GROUP BY doc_id, item_id, field, d, island)
+SELECT doc_id, item_id, field, start, length FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id, field ORDER BY length DESC, start) AS nth FROM spans) WHERE nth = 1""",
     }
