@@ -96,7 +96,18 @@ def chunk_recursive(s: SparkSession, d: str) -> DataFrame:
     return ingest.keep_chunks(ingest.recursive_chunks(table(s, d, "documents"), ["doc_id"], "text"))
 
 
-@query()
+_PARAS = f"paras AS (SELECT doc_id, string_split({_strip('replace(text, chr(13) || chr(10), chr(10))')}, chr(10) || chr(10)) AS p FROM documents)"
+_TURN = "open <> '' AND length(open) + length(p[k + 1]) > 3000"
+
+
+@query(f"""WITH RECURSIVE {_PARAS},
+packed AS (
+  SELECT doc_id, p, 1 AS k, p[1] AS open, NULL::VARCHAR AS closed FROM paras
+  UNION ALL
+  SELECT doc_id, p, k + 1, CASE WHEN {_TURN} OR open = '' THEN p[k + 1] ELSE open || chr(10) || chr(10) || p[k + 1] END, CASE WHEN {_TURN} THEN open END FROM packed WHERE k < len(p)
+),
+pages AS (SELECT doc_id, k, {_strip("closed")} AS c FROM packed WHERE closed IS NOT NULL UNION ALL SELECT doc_id, k + 1, {_strip("open")} FROM packed WHERE k = len(p))
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1)::INT AS page, c AS page_content FROM pages WHERE c <> ''""")
 def pseudo_pages(s: SparkSession, d: str) -> DataFrame:
     return ingest.pseudo_pages(table(s, d, "documents").select("doc_id", "text"), "text")
 
