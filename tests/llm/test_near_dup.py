@@ -112,3 +112,34 @@ def test_steps_cut_batches_by_size():
     batch = pa.record_batch([pa.array(range(6)), pa.array(["aaa", None, "b" * 50, "", "cc", "dd"]), pa.array([[1], None, [1] * 9, [], [2, 2], [3]])], ["i", "s", "l"])
     assert [b.num_rows for b in steps(iter([batch]), 1, 4)] == [2, 1, 3]
     assert [b.column(0).to_pylist() for b in steps(iter([batch, batch.slice(0, 0)]), 2, 2)] == [[0, 1], [2], [3, 4], [5]]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_blocks_over_batches(monkeypatch, seed):
+    """Where batches end must not matter, nor how many records are held."""
+    import pyarrow as pa
+
+    from sievework.llm import near_dup as n
+
+    r = np.random.default_rng(seed)
+    rows = 200
+    word = np.sort(r.integers(0, (3, 12, 60)[seed % 3], rows))
+    data = [word, r.integers(0, 150, rows), r.integers(0, 8, rows), r.integers(9, 12, rows).astype(np.int32), r.integers(0, 2, rows).astype(np.int32)]
+    batch = pa.record_batch([pa.array(x) for x in data], ["word", "k1", "code", "size", "lead"])
+
+    def run(sizes):
+        at, parts = 0, []
+        for s in sizes:
+            parts.append(batch.slice(at, s))
+            at += s
+        out = set()
+        for b in n._candidates(9, (5, 4))(iter([*parts, batch.slice(at)])):
+            out |= set(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        return out
+
+    whole = run([])
+    assert whole
+    for most in (1, 5, 40):
+        monkeypatch.setattr(n, "BLOCK_ROWS", most)
+        assert run(r.integers(0, 9, 30).tolist()) == whole
+        assert run([1] * 150) == whole
