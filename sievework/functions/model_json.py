@@ -44,6 +44,32 @@ def first_object(text: str | None) -> dict | None:
     return got if isinstance(got, dict) else None
 
 
+def unfenced(text: str) -> str:
+    """strip_fences() of one text."""
+    t = text.strip()
+    return re.sub(r"\s*```\Z", "", re.sub(r"^```(?:json)?\s*", "", t)).strip() if t.startswith("```") else t
+
+
+def has_array(text: str) -> bool:
+    return first_array(unfenced(text)) is not None
+
+
+def has_objects(text: str) -> bool:
+    """Whether there is an array with an object in it."""
+    return any(isinstance(x, dict) for x in first_array(unfenced(text)) or ())
+
+
+def has_object(text: str) -> bool:
+    """Whether there is an object with something in it."""
+    return bool(first_object(unfenced(text)))
+
+
+def has_checks(text: str) -> bool:
+    """Whether there is an object whose two checks are real booleans."""
+    got = first_object(unfenced(text)) or {}
+    return all(isinstance(got.get(k), bool) for k in ("unanswerable", "plausible"))
+
+
 def _token(v: object) -> str | None:
     return None if v is None else json.dumps(v, ensure_ascii=False)
 

@@ -16,6 +16,8 @@ from sievework.session import broadcast_if_small
 
 #: Share of passages that also get a question they cannot answer; seed of the choice.
 ABSTENTION_SHARE, SEED = 0.10, 42
+#: How a rate limit says when to come again: minutes, if any, and seconds.
+RETRY = r"try again in (?:(\d+)m)?([\d.]+)s"
 
 PAIRS_PROMPT = (
     "From the passage below, write {n} question-answer pairs that it fully supports. Each question must make sense "
@@ -101,9 +103,8 @@ def flattened(answered: DataFrame, abstained: DataFrame) -> DataFrame:
 
 def retry_seconds(message: Column, attempt: Column) -> Column:
     """How long to wait after a rate limit: as the message says plus one, 300 at most; else 20 more each time, 120 at most."""
-    pattern = r"try again in (?:(\d+)m)?([\d.]+)s"
-    minutes = F.coalesce(F.regexp_extract(message, pattern, 1).try_cast("double"), F.lit(0.0))
-    seconds = F.regexp_extract(message, pattern, 2).try_cast("double")
+    minutes = F.coalesce(F.regexp_extract(message, RETRY, 1).try_cast("double"), F.lit(0.0))
+    seconds = F.regexp_extract(message, RETRY, 2).try_cast("double")
     told = F.when(seconds.isNotNull(), F.least(minutes * 60 + seconds + 1, F.lit(300.0)))
     return F.coalesce(told, F.least(F.lit(20.0) * (attempt + 1), F.lit(120.0)))
 

@@ -65,6 +65,24 @@ def aligned_scores(groups: DataFrame, response: str = "raw") -> DataFrame:
     return row.groupBy("pair_ord").agg(last).select("pair_ord", "_s.scores", "_s.reason")
 
 
+def unjudged(groups: DataFrame, scores: DataFrame) -> DataFrame:
+    """``key, prompt, pair_ord``: the pairs of groups none of whose pairs has a score, each for a call of its own.
+
+    Pairs that read the same have one key.
+    """
+    each = groups.select("key", "passage", F.explode("pairs").alias("pair"))
+    scored = each.join(scores.select("pair_ord"), F.col("pair.pair_ord") == F.col("pair_ord"), "left_semi").select("key")
+    alone = each.join(scored.distinct(), "key", "left_anti").select(batch_prompt(F.col("passage"), F.array("pair")).alias("prompt"), F.col("pair.pair_ord").alias("pair_ord"))
+    return alone.withColumn("key", F.sha2("prompt", 256))
+
+
+def single_scores(responses: DataFrame, response: str = "raw") -> DataFrame:
+    """``pair_ord, scores, reason`` of pairs judged alone, by an object or the first one of an array."""
+    fields = F.coalesce(F.get(json_objects(F.col(response)), F.lit(0))["fields"], json_object(F.col(response)))
+    reason = F.substring(strip(F.coalesce(as_text(F.element_at("_f", F.lit("reason"))), F.lit(""))), 1, REASON)
+    return responses.withColumn("_f", fields).filter("_f is not null").select("pair_ord", scores_of(F.col("_f")).alias("scores"), reason.alias("reason"))
+
+
 def abstention_checks(responses: DataFrame, response: str = "raw", keep: list[str] | None = None, fixed_answer: Column | None = None) -> DataFrame:
     """The check of abstention pairs; only real booleans count as answers."""
     wide = responses.withColumn("_f", json_object(F.col(response)))

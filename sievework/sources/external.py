@@ -1,11 +1,13 @@
 """Models outside: anything that maps prompts to responses, run once and kept.
 
 A call is expensive and a task may run twice, so responses are written to a table keyed by
-fingerprint and key, and only missing ones are asked for.
+fingerprint and key, and only missing ones are asked for. Calls that fail or say nothing usable
+are made again.
 """
 
 from __future__ import annotations
 
+import re
 import threading
 import time
 from collections.abc import Callable, Iterator
@@ -14,6 +16,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievework.operators.generation import RETRY
+from sievework.session import cut
+
+#: Seconds before a call that failed is made again.
+PAUSE = 2.0
 #: A client: made once a task, then called with a prompt; it may raise.
 Client = Callable[[str], str]
 
@@ -59,26 +66,71 @@ class Meter:
         return self.budget - sum(self.by_stage.values()) <= max(self.reserve, self.budget * keep_share)
 
 
-def ask_model(prompts: DataFrame, make_client: Callable[[], Client], key: str = "key", prompt: str = "prompt", *, tasks: int = 4, tokens_a_minute: float | None = None) -> DataFrame:
-    """``key, raw`` with null where a call failed. At most ``tasks`` calls run at a time, sharing the rate."""
+def retry_wait(message: str, attempt: int) -> float:
+    """generation.retry_seconds() of one message."""
+    m = re.search(RETRY, message)
+    try:
+        return min(float(m[1] or 0) * 60 + float(m[2]) + 1, 300.0)
+    except (TypeError, ValueError):
+        return min(20.0 * (attempt + 1), 120.0)
+
+
+def is_rate_limit(error: Exception) -> bool:
+    return "RateLimit" in type(error).__name__ or "429" in str(error)
+
+
+def ask_model(prompts: DataFrame, make_client: Callable[[], Client], key: str = "key", prompt: str = "prompt", *, tasks: int = 4, tokens_a_minute: float | None = None, usable: Callable[[str], bool] | None = None, retries: int = 1) -> DataFrame:
+    """``key, raw`` with null where all of 1 + ``retries`` calls failed or said nothing ``usable``.
+
+    After a rate limit the task waits as long as the message says, else PAUSE seconds.
+    At most ``tasks`` calls run at a time, sharing the rate.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
         bucket = TokenBucket(tokens_a_minute / tasks) if tokens_a_minute else None
-        for pdf in batches:
-            out = []
-            for p in pdf[prompt]:
+
+        def said(p: str) -> str | None:
+            for attempt in range(retries + 1):
+                wait = PAUSE
                 if bucket:
                     bucket.ask(len(p) / 4)
                 try:
-                    out.append(client(p))
-                except Exception:
-                    out.append(None)
-            yield pd.DataFrame({key: pdf[key], "raw": out})
+                    got = client(p)
+                    if got is not None and (usable is None or usable(got)):
+                        return got
+                except Exception as error:
+                    if is_rate_limit(error):
+                        wait = retry_wait(str(error), attempt)
+                if attempt < retries:
+                    time.sleep(wait)
+            return None
+
+        for pdf in batches:
+            yield pd.DataFrame({key: pdf[key], "raw": [said(p) for p in pdf[prompt]]})
 
     return prompts.repartition(tasks).mapInPandas(run, f"{key} string, raw string")
 
 
+def ask_missing(prompts: DataFrame, make_client: Callable[[], Client], folder: str | None = None, **how) -> DataFrame:
+    """``key, raw`` for ``key, prompt``, written before it is used.
+
+    With a ``folder``, responses that it has to the same key and prompt are taken from it, only the
+    others are asked for, and what they bring is added to it.
+    """
+    if folder is None:
+        return cut(ask_model(prompts, make_client, **how))
+    spark = prompts.sparkSession
+    # one key of both, so that a changed prompt is asked anew
+    both = cut(prompts.select(F.col("key").alias("own"), F.concat_ws("|", "key", F.sha2("prompt", 256)).alias("key"), "prompt"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    read = lambda: spark.read.schema("key string, raw string").parquet(folder)
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    fresh = cut(ask_model(missing(both, read()) if there else both, make_client, **how))
+    fresh.filter("raw is not null").write.mode("append").parquet(folder)
+    return cut(replay(both, read().dropDuplicates(["key"])).join(both.select("key", "own"), "key").select(F.col("own").alias("key"), "raw"))
+
+
 def replay(prompts: DataFrame, saved: DataFrame, key: str = "key") -> DataFrame:
     """Responses that were saved, null where there is none."""
     return prompts.select(key).join(saved.select(key, "raw"), key, "left")

@@ -1,8 +1,11 @@
+import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from sievework.operators import generation
 from sievework.plans import catalogue, pipeline
 from sievework.schemas import DATASET, PAGE
 from sievework.sources import external, files, sinks
@@ -157,6 +160,58 @@ def test_pipeline(spark):
     assert len(pipeline.Settings().name()) == 16
 
 
+def test_pipeline_asks_again(spark, tmp_path):
+    text = "Growers dry the maize of the valley in the shade before they store it in closed bins near the river. " * 8
+    pages = spark.createDataFrame([("who.pdf", i, f"Lot {i}. " + text) for i in range(4)], PAGE)
+    good = {
+        "generator": lambda p: json.dumps([{"question": f"How do growers {w} the maize of lot {p.split('Lot ')[1][:1] if 'Lot ' in p else 9}?", "answer": "They do it in the shade before storing it."} for w in ("dry", "store")]),
+        "abstainer": lambda p: json.dumps({"question": "What does a new closed bin cost near the river?"}),
+        "judge": lambda p: json.dumps([{"index": i + 1, "groundedness": 2, "specificity": 2, "completeness": 2} for i in range(p.count("] Q: "))]),
+        "checker": lambda p: json.dumps({"unanswerable": True, "plausible": True}),
+    }
+
+    def makers(folder, bad):
+        """Clients that say what bad() says, if anything, and note their calls."""
+        os.makedirs(folder)
+
+        def make(name):
+            def client():
+                def call(p):
+                    mark = hashlib.md5((name + p).encode()).hexdigest()
+                    nth = sum(f.startswith(mark) for f in os.listdir(folder))
+                    open(f"{folder}/{mark}-{nth}-{name}", "x").close()
+                    out = bad(name, p, nth)
+                    return good[name](p) if out is None else out
+
+                return call
+
+            return client
+
+        return [make(k) for k in good]
+
+    def poor(name, p, nth):
+        """First calls fail, and batches never work out."""
+        if nth == 0 and name == "generator":
+            raise RuntimeError("429: try again in 0.2s")
+        if name == "judge":
+            return "[1, 2" if p.count("] Q: ") > 1 or nth == 0 else None
+        return None if nth else "so sorry" if name == "checker" else '{"question": "What does this passage say?"}'
+
+    saved = str(tmp_path / "saved")
+    outcome = lambda run: sorted((x.question, x.outcome, x.quality_score) for x in run.graded.collect())
+    got = outcome(pipeline.run(pages, *makers(str(tmp_path / "a"), poor), saved=saved))
+    assert len(got) == 17 and {x[1] for x in got} == {"kept"} and sum("cost" in x[0] for x in got) == 1
+    # what is saved isn't asked for again, except batches that never worked out
+    assert outcome(pipeline.run(pages, *makers(str(tmp_path / "b"), poor), saved=saved)) == got
+    assert {f.rpartition("-")[2] for f in os.listdir(tmp_path / "b")} == {"judge"}
+
+
+def test_retry_wait(spark):
+    for m, a in [("429: try again in 4m24.383s", 0), ("try again in 7s", 3), ("try again in 9m1s", 0), ("429", 1), ("429", 9)]:
+        told = spark.range(1).select(generation.retry_seconds(F.lit(m), F.lit(a))).first()[0]
+        assert external.retry_wait(m, a) == pytest.approx(told)
+
+
 def test_every_query_runs(spark, small):
     for name, query in catalogue.QUERIES.items():
         assert query(spark, small).columns, name
