@@ -5,8 +5,10 @@ that is written in another language. Checks against all answers:
 
 * Refusals. The openings of all answers, names and numbers blanked, are clustered by MinHash of
   their word shingles, and clusters verified by the shingles themselves. A cluster declines if
-  most of its answers bear a phrase of declining, or if it is what unanswerable questions get;
-  as a template it must recur across unrelated prompts, seen by how these begin.
+  it recurs over many prompts that begin differently while its answers are sentences that bring
+  no name or number and take up no word of the question; or if most of its answers bear a phrase
+  of declining or it is what unanswerable questions get, and it recurs. A single answer, or a
+  cluster all of whose answers bear such a phrase, needs no recurrence.
 * Breaking off. For every beginning of a sentence it is counted how often sentences end there,
   with and without a full stop, or go on. An answer without a full stop is broken off if what
   it begins with, or failing that its last words, mostly goes on elsewhere.
@@ -37,10 +39,14 @@ BRIEF = 6
 #: Answers in a batch, and bytes of answers read at a time, over which counts are combined before they are sent on.
 BATCH, STEP_BYTES = 50_000, 6_000_000
 
+#: Prompts that begin differently, counted in 64 bits, over which a template declines whatever its words; least words of its answers.
+MANY, SENTENCE = 8, 4
+
 _TOKEN = re.compile(r"(\d+(?:[.,]\d+)*)|([^\W\d_][^\W_]*(?:['’][^\W_]+)*)|([.!?。](?=[\s\"”’')\]]|$))")
 _PLAIN = re.compile(r"[^\W_]+")
 _MARKUP = re.compile(r"<[^<>]*>|&(?:[a-z]+|#\d+);", re.I)
 _QUOTED = re.compile(r"[\"“„«]([^\"“”„«»]{1,80})[\"”“»]|(?<!\w)['‘]([^'‘’]{1,80})['’](?!\w)")
+_SPECIFIC = re.compile(r"\d+(?:[.,]\d+)*|(?<=[^\s.!?]\s)[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][^\W\d_A-Z]\w*")
 _QUOTE = re.compile(r"[\"'“„«‘’]")
 
 #: What may lead in a first sentence: up to four words and a comma, or "note that".
@@ -241,8 +247,8 @@ def stopped(answer: str) -> int:
     return -1 if len(words) > 1 and words[-1] in _NO_END else 0
 
 
-_PAIR = pa.schema([("kind", pa.int8()), ("id", pa.int64()), ("flag", pa.int8()), ("answerable", pa.bool_()), ("opening", pa.string()), ("prompt", pa.int64()), ("keys", pa.list_(pa.int64())), ("word", pa.string()), ("key", pa.int64()), ("stops", pa.int64()), ("halts", pa.int64()), ("goes_on", pa.int64())])
-_DDL = "kind tinyint, id bigint, flag tinyint, answerable boolean, opening string, prompt bigint, keys array<bigint>, word string, key bigint, stops bigint, halts bigint, goes_on bigint"
+_PAIR = pa.schema([("kind", pa.int8()), ("id", pa.int64()), ("flag", pa.int8()), ("answerable", pa.bool_()), ("opening", pa.string()), ("prompt", pa.int64()), ("aside", pa.bool_()), ("keys", pa.list_(pa.int64())), ("word", pa.string()), ("key", pa.int64()), ("stops", pa.int64()), ("halts", pa.int64()), ("goes_on", pa.int64())])
+_DDL = "kind tinyint, id bigint, flag tinyint, answerable boolean, opening string, prompt bigint, aside boolean, keys array<bigint>, word string, key bigint, stops bigint, halts bigint, goes_on bigint"
 
 
 def _batch(**columns: object) -> pa.RecordBatch:
@@ -288,14 +294,14 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = _Words()
     for batch in steps(batches, 2, STEP_BYTES):
         ids, questions, answers, able = (batch.column(i).to_pylist() for i in range(4))
-        flags, starts, prompts, last_words, lengths, asked = [], [], [], [], [], []
+        flags, starts, prompts, asides, last_words, lengths, asked = [], [], [], [], [], [], []
         h: list[int] = []
         pos: list[int] = []
         slot: list[int] = []
         opens: list[bool] = []
         vocabulary: dict[str, int] = {}
         for row, (q, a) in enumerate(zip(questions, answers)):
-            flag, start, word, length = -1, None, None, None
+            flag, start, aside, word, length = -1, None, False, None, None
             t = _bare(a)
             if is_empty(t):
                 flag = 0
@@ -308,6 +314,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 tokens, ends, whole = read_tokens(t[lead.end() :] if lead else t)
                 start = opening(tokens, ends)
                 end = stopped(t)
+                aside = end == 1 and len(tokens) >= SENTENCE and is_aside(q, t)
                 if tokens:
                     h += [number[w] for w in tokens]
                     low = 0
@@ -331,6 +338,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last_words.append(word)
             lengths.append(length)
             prompts.append(hash_prompt(q))
+            asides.append(aside)
         keys: list[list[int] | None] = [None] * len(ids)
         if h:
             p, s = np.array(pos, np.int64), np.array(slot, np.int64)
@@ -344,7 +352,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = [pa.array(np.bincount(back[slots == k], minlength=len(unique)).astype(np.int64)) for k in range(3)]
             yield _batch(kind=pa.array(np.ones(len(unique), np.int8)), key=pa.array(unique.view(np.int64)), stops=counts[0], halts=counts[1], goes_on=counts[2])
             yield _batch(kind=pa.array(np.full(len(vocabulary), 2, np.int8)), word=list(vocabulary), stops=list(vocabulary.values()))
-        yield _batch(kind=pa.array(np.zeros(len(ids), np.int8)), id=ids, answerable=able, flag=flags, opening=starts, prompt=prompts, keys=keys, word=last_words, stops=lengths)
+        yield _batch(kind=pa.array(np.zeros(len(ids), np.int8)), id=ids, answerable=able, flag=flags, opening=starts, prompt=prompts, aside=asides, keys=keys, word=last_words, stops=lengths)
 
 
 def hash_prompt(question: str | None) -> int:
@@ -353,6 +361,15 @@ def hash_prompt(question: str | None) -> int:
     return xxhash.xxh64_intdigest(" ".join("@" if i and w[:1].isupper() or not w.isalpha() else w.lower() for i, w in enumerate(head))) >> 1
 
 
+def is_aside(question: str | None, answer: str) -> bool:
+    """Whether an answer brings no name or number that its question lacks, and takes up no other word of four letters or more."""
+    q = question or ""
+    if any(m[0] not in q for m in _SPECIFIC.finditer(answer)):
+        return False
+    asked = {w for w in _PLAIN.findall(q) if len(w) > 3 and w.islower()}
+    return asked.isdisjoint(_PLAIN.findall(answer.lower()))
+
+
 def _declines(openings: pd.Series) -> pd.Series:
     return openings.map(lambda o: bool(_DECLINE.search(o)))
 
@@ -380,17 +397,19 @@ def _clusters(openings: DataFrame) -> DataFrame:
 
 
 def refusal_openings(rows: DataFrame) -> DataFrame:
-    """The openings of answers that decline, from ``opening, answerable, prompt`` of all pairs."""
-    kinds = rows.groupBy("opening").agg(F.count("*").alias("n"), F.count_if(~F.col("answerable")).alias("un"), F.min("prompt").alias("p0"), F.max("prompt").alias("p1"))
+    """The openings of answers that decline, from ``opening, answerable, prompt, aside`` of all pairs."""
+    kinds = rows.groupBy("opening").agg(F.count("*").alias("n"), F.count_if(~F.col("answerable")).alias("un"), F.min("prompt").alias("p0"), F.max("prompt").alias("p1"), F.count_if("aside").alias("asides"), F.expr("bit_or(shiftleft(1L, int(pmod(prompt, 64))))").alias("begins"))
     kinds = cut(kinds.withColumn("declines", F.pandas_udf(_declines, "boolean")("opening")))
     clusters = _clusters(kinds.select("opening"))
     grouped = kinds.join(clusters, "opening").groupBy("cluster").agg(
-        F.sum("n").alias("n"), F.sum(F.when(F.col("declines"), F.col("n")).otherwise(0)).alias("cues"), F.sum("un").alias("un"), F.min("p0").alias("p0"), F.max("p1").alias("p1")
+        F.sum("n").alias("n"), F.sum(F.when(F.col("declines"), F.col("n")).otherwise(0)).alias("cues"), F.sum("un").alias("un"), F.min("p0").alias("p0"), F.max("p1").alias("p1"), F.sum("asides").alias("asides"), F.bit_count(F.bit_or("begins")).alias("begins")
     )
     recurs = (F.col("p0") != F.col("p1")) | (F.col("n") == 1)
     told = F.col("cues") * 2 >= F.col("n")
     unanswerable = (F.col("un") >= 3) & (F.col("un") * 5 >= F.col("n"))
-    refusing = grouped.filter((told | unanswerable) & (recurs | (F.col("cues") == F.col("n")))).select("cluster")
+    template = (F.col("begins") >= MANY) & (F.col("asides") * 10 >= F.col("n") * 9)
+    # the phrase alone tells of answers that don't recur: these are refusals too
+    refusing = grouped.filter(template | (told | unanswerable) & (recurs | (F.col("cues") == F.col("n")))).select("cluster")
     return clusters.join(refusing, "cluster", "left_semi").select("opening")
 
 

@@ -85,6 +85,29 @@ def test_find_defects(spark):
     assert find_defects(df.limit(0), "pair_id", "question", "answer", F.col("answerable")).count() == 0
 
 
+def test_templates_that_recur(spark):
+    """Recurrence over unrelated prompts reveals refusals without a phrase of declining."""
+    begins = [f"{a} {b} {c}" for a in ("How", "Where", "Why") for b in ("should", "might") for c in ("growers", "keepers", "carriers", "millers")]
+    said = [
+        ("Kindly consult a local expert on such matters.", "refusal"),
+        ("Let us rather talk of something pleasant instead.", "refusal"),
+        ("Twice a week, at dusk, by Guvirodi staff.", None),
+        ("Each animal receives 26 ml a day.", None),
+        ("They store the harvest in the shade.", None),  # takes up a word of the question
+        ("It depends.", None),
+    ]
+    rows, want = [], {}
+    for b in begins:
+        for a, defect in said:
+            rows.append((len(rows), f"{b} near Kanebor treat and store their maize?", a, True))
+            if defect:
+                want[len(rows) - 1] = defect
+    one = [(len(rows) + i, "How should growers near Kanebor treat their maize?", "Spread it thinly above ground beneath open sheds.", True) for i in range(30)]
+    df = spark.createDataFrame(rows + one, "pair_id bigint, question string, answer string, answerable boolean")
+    got = find_defects(df, "pair_id", "question", "answer", F.col("answerable")).collect()
+    assert {x.pair_id: x.defect for x in got} == want
+
+
 @pytest.mark.parametrize("s", ["She stripped n a k e d there", "she stripped n.a.k.e.d there", "She  stripped na\u200bked there", "SHE STRIPPED NAAAAKED THERE", "she stripped nаkеd there", "she 5tr1pp3d n4k3d there"])
 def test_disguises(s):
     assert normalise(s) == "she stripped naked there"
