@@ -3,12 +3,13 @@
 Checks of a pair alone: an answer that is empty or a filler, that only repeats its question, or
 that is written in another language. Checks against all answers:
 
-* Refusals. The openings of all answers, names and numbers blanked, are clustered by MinHash of
-  their word shingles, and clusters verified by the shingles themselves. A cluster declines if
-  it recurs over many prompts that begin differently while its answers are sentences that bring
-  no name or number and take up no word of the question; or if most of its answers bear a phrase
-  of declining or it is what unanswerable questions get, and it recurs. A single answer, or a
-  cluster all of whose answers bear such a phrase, needs no recurrence.
+* Refusals. The clauses of all answers, names and numbers blanked, are clustered by MinHash of
+  their word shingles, and clusters verified by the shingles themselves: these are the templates.
+  A template that recurs over unrelated prompts, while the answers it stands in bring no name or
+  number that their prompt lacks, says nothing on any prompt; an answer that is made of such
+  templates only declines. Whether prompts are unrelated is told by how often two of them have a
+  MinHash value of their words in common, which counts give for any number of prompts. No phrase
+  and no list of words takes part.
 * Breaking off. For every beginning of a sentence it is counted how often sentences end there,
   with and without a full stop, or go on. An answer without a full stop is broken off if what
   it begins with, or failing that its last words, mostly goes on elsewhere.
@@ -21,7 +22,6 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -29,29 +29,29 @@ from pyspark.sql import functions as F
 
 from sievework.llm.batches import steps
 from sievework.llm.components import connected_components
-from sievework.session import broadcast_if_small, cut
+from sievework.operators.deliveries import latest
+from sievework.session import broadcast_if_small, cut, skew_join
 
 DEFECTS = ("empty", "copied_question", "other_language", "refusal", "truncated")
-#: Words of an opening; words of a shingle; least similarity in a cluster; bands, and MinHash rows of each.
-OPENING_WORDS, SHINGLE, SIMILAR, BANDS, BAND_ROWS = 16, 5, 0.8, 10, 3
+#: Words of a shingle; least similarity in a cluster; bands, and MinHash rows of each.
+SHINGLE, SIMILAR, BANDS, BAND_ROWS = 5, 0.8, 10, 3
 #: Words of an answer up to which its last words alone don't tell that it breaks off.
 BRIEF = 6
-#: Answers in a batch, and bytes of answers read at a time, over which counts are combined before they are sent on.
-BATCH, STEP_BYTES = 50_000, 6_000_000
+#: Bytes of answers read at a time; words over which counts are combined before they are sent on.
+STEP_BYTES, STEP_WORDS = 6_000_000, 1_000_000
 
-#: Prompts that begin differently, counted in 64 bits, over which a template declines whatever its words; least words of its answers.
-MANY, SENTENCE = 8, 4
+#: Prompts over which a template must recur; least words of an answer that declines; MinHash values of a prompt.
+MANY, SENTENCE, PRINTS = 3, 4, 12
+#: Prompts are unrelated if on average they share at most this part of their words; or twice what any two
+#: prompts of the table share, up to the second figure.
+UNRELATED, RELATED = 0.15, 0.5
 
-_TOKEN = re.compile(r"(\d+(?:[.,]\d+)*)|([^\W\d_][^\W_]*(?:['’][^\W_]+)*)|([.!?。](?=[\s\"”’')\]]|$))")
+_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_][^\W_]*(?:['’][^\W_]+)*|[.!?。](?=[\s\"”’')\]]|$)|[,;:](?=\s|$)")
 _PLAIN = re.compile(r"[^\W_]+")
 _MARKUP = re.compile(r"<[^<>]*>|&(?:[a-z]+|#\d+);", re.I)
 _QUOTED = re.compile(r"[\"“„«]([^\"“”„«»]{1,80})[\"”“»]|(?<!\w)['‘]([^'‘’]{1,80})['’](?!\w)")
-_SPECIFIC = re.compile(r"\d+(?:[.,]\d+)*|(?<=[^\s.!?]\s)[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][^\W\d_A-Z]\w*")
 _QUOTE = re.compile(r"[\"'“„«‘’]")
 
-#: What may lead in a first sentence: up to four words and a comma, or "note that".
-_LEAD = re.compile(r"\s*(?:note\s+that\s+|(?:[^\W\d_]+\s+){0,3}[^\W\d_]+,\s+)", re.I)
-
 #: Words that stand for no answer.
 FILLERS = frozenset(
     "none null nil nan na n/a n.a. tbd tba tbc todo empty blank missing undefined void unknown unspecified nothing pending placeholder "
@@ -89,19 +89,6 @@ _NO_END = frozenset(
     "il lo gli di e che per os uma do da em het een van en op voor na w z i do od".split()
 ) - {"when", "in", "as", "if"}
 
-_DECLINE = re.compile(
-    r"\b(?:i|we)\s+(?:am\s+|are\s+|'m\s+)?(?:not\s+able\s+to|unable\s+to|cannot|can't|can\s+not|won't|will\s+not|must\s+decline|decline\s+to|have\s+no\s+(?:access|information|data|answer|way)|do\s+not\s+have|don't\s+have|do\s+not\s+know|don't\s+know|could\s+not\s+find|couldn't\s+find|lack)\b"
-    r"|\bi['’]m\s+(?:not\s+able\s+to|unable\s+to|not\s+allowed|sorry)\b|\bas\s+an\s+ai\b|\bbeyond\s+what\s+i\s+can\b|\bnot\s+(?:be\s+)?appropriate\s+for\s+me\b"
-    r"|\b(?:information|details?|data|passage|document|text|context|answer|source|excerpt)\b.{0,50}\b(?:not|no|nothing|never|without|lacks?)\b.{0,40}\b(?:available|stated|mentioned|given|found|provided|specified|included|contain\w*|say|mention|state|provide|include|specify|give|answer|cover|discuss|about\s+this)\b"
-    r"|\b(?:not|nowhere)\s+(?:available|stated|mentioned|given|found|provided|specified|included|covered|discussed)\s+(?:in|by)\b"
-    r"|\bno\s+(?:details?|information|data|answer|mention)\b.{0,60}\b(?:given|available|provided|found|stated|contained|included|in)\b|\b(?:cannot|can't|could\s+not)\s+be\s+(?:answered|determined|found|inferred)\b"
-    r"|\b(?:angaben?|information(?:en)?|antwort|auskunft|dokument|text)\b.{0,60}\b(?:nicht|keine?n?)\b|\b(?:leider|ich)\b.{0,30}\b(?:nicht|keine?)\b.{0,40}\b(?:beantworten|helfen|finden|sagen|angaben?)\b"
-    r"|\b(?:information|réponse|document|texte|passage|je|nous)\b.{0,40}\b(?:ne|n['’])\s*\w*.{0,12}\b(?:pas|aucune?)\b|\baucune\s+(?:information|donnée|réponse)\b"
-    r"|\b(?:información|respuesta|documento|texto|dato|pasaje)\b.{0,40}\bno\s+(?:está|figura|aparece|consta|se|contiene|hay|menciona|dice)\b|\bno\s+(?:puedo|podemos|tengo|dispongo)\b|\binformaç\w+\b.{0,30}\bnão\b|\binformazion\w+\b.{0,30}\bnon\b",
-    re.I | re.S,
-)
-
-
 def _bare(text: str | None) -> str:
     """Without markup, invisible characters and white space at the ends."""
     t = text or ""
@@ -112,17 +99,21 @@ def _bare(text: str | None) -> str:
     return t.strip()
 
 
-def is_empty(answer: str | None) -> bool:
-    """Null, blank, or only a filler that stands for no answer."""
-    t = _bare(answer)
+def _is_filler(t: str) -> bool:
     if not any(c.isalnum() for c in t):
         return True
-    if len(t) > 40:
-        return False
+    if len(t) > 40:  # placeholder text, or one filler again and again
+        words = t.lower().split()
+        return words[:2] == ["lorem", "ipsum"] or 3 * len(each := dict.fromkeys(words)) <= len(words) and " ".join(each).strip(" .,;") in FILLERS
     core = t.strip(" \t\r\n()[]{}<>\"'“”‘’*_-–—.:;,=|").lower()
     return core in FILLERS or t.lower() in FILLERS or f"#{core}" in FILLERS or bool(re.fullmatch(r"(?:answer|response|reply|a)\s*[:=\-]+\s*(?:none|null|n/?a)?", t, re.I))
 
 
+def is_empty(answer: str | None) -> bool:
+    """Null, blank, or only a filler that stands for no answer."""
+    return _is_filler(_bare(answer))
+
+
 def is_copy(question: str | None, answer: str, extra: int = 6) -> bool:
     """Only repeats the question: its words in order, once or more, and at most ``extra`` others around."""
     if not question or 4 * len(answer) < 3 * len(question):
@@ -146,88 +137,135 @@ def _script(text: str) -> str:
     return top if top != "LATIN" and counts[top] > sum(c.isascii() and c.isalpha() for c in text) + counts.get("LATIN", 0) else "LATIN"
 
 
-def language_scores(text: str) -> tuple[str, list[float], int]:
-    """Script, a score per language of COMMON, and the number of words; quoted phrases and names are left out."""
-    t = _QUOTED.sub(" ", text) if _QUOTE.search(text) else text
+class _Tokens(dict):
+    """What is known of a token, kept while there are not too many: kind (0 number, 1 word, 2 end of a
+    sentence, 3 of a clause), lower-cased, random number, whether it looks like a name, its weights for
+    languages, the languages it is of alone, and its plain words."""
+
+    def __missing__(self, token: str) -> tuple:
+        if len(self) > 200_000:
+            self.clear()
+        low = token.lower()
+        c = token[0]
+        kind = 1 if c.isalpha() else 0 if c.isalnum() else 2 if c in ".!?。" else 3
+        parts = _PLAIN.findall(low) if kind < 2 else []
+        weights = tuple(x for w in parts for x in _WEIGHT.get(w, ()))
+        only = tuple(_ONLY[w] for w in parts if w in _ONLY)
+        name = kind == 1 and c.isupper() and len(token) > 2 and token[1] not in "'’"
+        got = self[token] = (kind, low if kind else "#", xxhash.xxh64_intdigest(low if kind else "#"), name, weights, only, len(parts))
+        return got
+
+
+_KNOWN = _Tokens()
+
+
+def _tokens(text: str) -> list[tuple]:
+    return [_KNOWN[t] for t in _TOKEN.findall(text)]
+
+
+def _language_scores(tokens: list[tuple], text: str) -> tuple[str, list[float], int]:
     scores, n = [0.0] * len(_LANGS), 0
-    for w in _PLAIN.findall(t.lower()):
-        n += 1
-        for i, x in _WEIGHT.get(w, ()):
+    for _, _, _, _, weights, _, parts in tokens:
+        n += parts
+        for i, x in weights:
             scores[i] += x
-    if not t.isascii():
-        for c in t:
-            i = _MARK.get(c)
-            if i is not None:
-                scores[i] += 0.5
-    return _script(t) if not t.isascii() else "LATIN", scores, n
+    if text.isascii():
+        return "LATIN", scores, n
+    for c in text:
+        i = _MARK.get(c)
+        if i is not None:
+            scores[i] += 0.5
+    return _script(text), scores, n
+
+
+def _unquoted(text: str) -> str:
+    return _QUOTED.sub(" ", text) if _QUOTE.search(text) else text
 
 
-def _speaks(text: str, language: int, enough: int = 3) -> bool:
-    """Whether some words of one language alone turn up; looks no further than it must."""
+def language_scores(text: str) -> tuple[str, list[float], int]:
+    """Script, a score per language of COMMON, and the number of words; quoted phrases and names are left out."""
+    t = _unquoted(text)
+    return _language_scores(_tokens(t), t)
+
+
+def _speaks(tokens: list[tuple], language: int, enough: int = 3) -> bool:
+    """Whether some words of one language alone turn up."""
     seen = 0
-    for w in _PLAIN.findall(text.lower()):
-        if _ONLY.get(w) == language:
+    for x in tokens:
+        if x[5] and language in x[5]:
             seen += 1
             if seen == enough:
                 return True
     return False
 
 
-def other_language(question: str | None, answer: str) -> bool:
-    """Whether the answer is in another language than the question, by its frequent words or its script."""
-    end = stopped(answer)
+def _other_language(q: str, asked: list[tuple], answer: str, said: list[tuple], end: int) -> tuple[bool, int]:
+    """other_language() of a pair that is cut into tokens, and the answer's likeliest language."""
+    bare = _unquoted(answer)
     if end == -1:  # what comes right before the break may be anything
-        answer = " ".join(answer.split()[:-3])
-    s, a, n = language_scores(answer)
-    if end < 1 and n < 7:  # the beginning of a sentence tells too little
-        return False
+        bare = _unquoted(" ".join(answer.split()[:-3]))
+    s, a, n = _language_scores(said if bare is answer else _tokens(bare), bare)
     top = max(a)
-    if s == "LATIN" and top < 1.5:
-        return question is not None and _script(question) != s and n >= 2
     best = a.index(top)
-    if s == "LATIN" and _speaks(question or "", best):
-        return False
-    qs, q, _ = language_scores(question or "")
+    if end < 1 and n < 7:  # the beginning of a sentence tells too little
+        return False, best
+    if s == "LATIN" and top < 1.5:
+        return bool(q) and not q.isascii() and _script(q) != s and n >= 2, best
+    if s == "LATIN" and _speaks(asked, best):
+        return False, best
+    bare = _unquoted(q)
+    qs, b, _ = _language_scores(asked if bare is q else _tokens(bare), bare)
     if s != qs:
-        return n >= 2 and any(c.isalpha() for c in question or "")
+        return n >= 2 and any(c.isalpha() for c in q), best
     if s != "LATIN":
-        return False
-    own = max(range(len(q)), key=q.__getitem__)
-    if q[own] < 1.5 or best == own or q[best] >= 0.8 * q[own]:  # the question may be in that language as well
-        return False
-    return a[own] <= 0.7 * top and top - a[own] >= 0.9 and top / max(n, 1) >= 0.1
+        return False, best
+    own = max(range(len(b)), key=b.__getitem__)
+    if b[own] < 1.5 or best == own or b[best] >= 0.8 * b[own]:  # the question may be in that language as well
+        return False, best
+    return a[own] <= 0.7 * top and top - a[own] >= 0.9 and top / max(n, 1) >= 0.1, best
+
 
+def other_language(question: str | None, answer: str) -> bool:
+    """Whether the answer is in another language than the question, by its frequent words or its script."""
+    q = question or ""
+    return _other_language(q, _tokens(q), answer, _tokens(answer), stopped(answer))[0]
 
-def read_tokens(text: str) -> tuple[list[str], list[int], bool]:
-    """Words of a text for comparison, the number of words up to each sentence's end, and whether the last has one.
 
-    Numbers become #, words with a capital within a sentence @, all others are lower-cased.
+def read_tokens(tokens: list[tuple], shouted: bool, names: set[str], blank: bool = True) -> tuple[list[str], list[int], list[int], bool]:
+    """Words of a text for comparison, the number of words up to the end of each sentence and of each
+    clause, and whether the last sentence has an end.
+
+    Numbers become #; names of the prompt, and words with a capital within a sentence, become @
+    (the latter only if ``blank``); all others are lower-cased.
     """
     out: list[str] = []
     ends: list[int] = []
-    first, shouted = True, text.isupper()
-    for number, word, _ in _TOKEN.findall(text):
-        if number:
-            out.append("#")
+    clauses: list[int] = []
+    first, at, last = True, 0, 0
+    for kind, low, _, name, _, _, _ in tokens:
+        if kind == 1:
+            out.append("@" if low in names or name and blank and not first and not shouted else low)
             first = False
-        elif word:
-            name = not first and not shouted and word[0].isupper() and len(word) > 2 and word[:2] not in ("I'", "I’")
-            out.append("@" if name else word.lower())
+        elif kind == 0:
+            out.append("#")
             first = False
         else:
-            first = True
-            if out and (not ends or ends[-1] < len(out)):
-                ends.append(len(out))
-    whole = bool(ends) and ends[-1] == len(out)
-    if out and not whole:
-        ends.append(len(out))
-    return out, ends, whole
-
-
-def opening(tokens: list[str], ends: list[int]) -> str:
-    """The first sentence, or as many as have four words, up to OPENING_WORDS words."""
-    upto = next((e for e in ends if e >= 4), len(tokens))
-    return " ".join(tokens[: min(upto, OPENING_WORDS)])
+            size = len(out)
+            if size > at:
+                clauses.append(size)
+                at = size
+            if kind == 2:
+                first = True
+                if size > last:
+                    ends.append(size)
+                    last = size
+    size = len(out)
+    whole = bool(ends) and last == size
+    if size > at:
+        clauses.append(size)
+    if size > last:
+        ends.append(size)
+    return out, ends, clauses, whole
 
 
 def stopped(answer: str) -> int:
@@ -247,8 +285,8 @@ def stopped(answer: str) -> int:
     return -1 if len(words) > 1 and words[-1] in _NO_END else 0
 
 
-_PAIR = pa.schema([("kind", pa.int8()), ("id", pa.int64()), ("flag", pa.int8()), ("answerable", pa.bool_()), ("opening", pa.string()), ("prompt", pa.int64()), ("aside", pa.bool_()), ("keys", pa.list_(pa.int64())), ("word", pa.string()), ("key", pa.int64()), ("stops", pa.int64()), ("halts", pa.int64()), ("goes_on", pa.int64())])
-_DDL = "kind tinyint, id bigint, flag tinyint, answerable boolean, opening string, prompt bigint, aside boolean, keys array<bigint>, word string, key bigint, stops bigint, halts bigint, goes_on bigint"
+_PAIR = pa.schema([("kind", pa.int8()), ("id", pa.int64()), ("flag", pa.int8()), ("answerable", pa.bool_()), ("clauses", pa.list_(pa.int64())), ("prints", pa.binary()), ("aside", pa.bool_()), ("keys", pa.list_(pa.int64())), ("word", pa.string()), ("key", pa.int64()), ("stops", pa.int64()), ("halts", pa.int64()), ("goes_on", pa.int64())])
+_DDL = "kind tinyint, id bigint, flag tinyint, answerable boolean, clauses array<bigint>, prints binary, aside boolean, keys array<bigint>, word string, key bigint, stops bigint, halts bigint, goes_on bigint"
 
 
 def _batch(**columns: object) -> pa.RecordBatch:
@@ -258,16 +296,6 @@ def _batch(**columns: object) -> pa.RecordBatch:
     return pa.record_batch([made.get(f.name, pa.nulls(n, f.type)) for f in _PAIR], schema=_PAIR)
 
 
-class _Words(dict):
-    """Random numbers of words, kept while there are not too many."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        n = self[word] = xxhash.xxh64_intdigest(word)
-        return n
-
-
 _POS = np.array([xxhash.xxh64_intdigest(f"at {i}") | 1 for i in range(4096)], np.uint64)
 _FIRST, _BLANK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x5851F42D4C957F2D)
 _G3, _G2 = (np.array([xxhash.xxh64_intdigest(f"{g} {i}") | 1 for i in range(g)], np.uint64) for g in (3, 2))
@@ -289,34 +317,119 @@ def _keys(h: np.ndarray, pos: np.ndarray, first: np.ndarray, name: int) -> list[
     return [begin, blank, g3, g2]
 
 
+_SALT = np.array([xxhash.xxh64_intdigest(f"print {i}") | 1 for i in range(PRINTS)], np.uint64)
+
+
+def prompt_prints(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """MinHash values, of 16 bits, of prompts with so many words each (one at least); a row a prompt."""
+    starts = np.cumsum(sizes) - sizes
+    out = np.empty((len(sizes), PRINTS), "<u2")
+    for j in range(PRINTS):
+        h = codes * _SALT[j]
+        h ^= h >> np.uint64(32)
+        h *= _FIRST
+        out[:, j] = np.minimum.reduceat(h, starts) >> np.uint64(32) & np.uint64(0xFFFF) if len(sizes) else 0
+    return out
+
+
+def _lead(tokens: list[tuple]) -> int:
+    """Tokens of what may lead in a first sentence: up to four words and a comma, or "note that"."""
+    for i, x in enumerate(tokens[:5]):
+        if x[0] != 1:
+            return i + 1 if i and x[1] == "," and len(tokens) > i + 1 else 0
+    return 2 if [x[1] for x in tokens[:2]] == ["note", "that"] and len(tokens) > 2 else 0
+
+
+class _Counts:
+    """What is counted over the answers of a task, until it is sent on."""
+
+    def __init__(self) -> None:
+        self.hashes: list[np.ndarray] = []  # keys of words and what came after each
+        self.slots: list[np.ndarray] = []
+        self.words: dict[str, int] = {}
+        self.clauses: dict[str, list[int]] = {}  # text: uses, and those in answers that bring nothing
+        self.prints: list[np.ndarray] = []
+        self.size = 0
+
+    def send(self) -> Iterator[pa.RecordBatch]:
+        """Kind 1: counts of keys. Kind 2: words. Kind 3: clauses. Kind 4: MinHash values of prompts."""
+        if self.hashes:
+            every, slots = np.concatenate(self.hashes), np.concatenate(self.slots)
+            unique, back = np.unique(every, return_inverse=True)
+            counts = [pa.array(np.bincount(back[slots == k], minlength=len(unique)).astype(np.int64)) for k in range(3)]
+            yield _batch(kind=pa.array(np.ones(len(unique), np.int8)), key=pa.array(unique.view(np.int64)), stops=counts[0], halts=counts[1], goes_on=counts[2])
+        if self.words:
+            yield _batch(kind=pa.array(np.full(len(self.words), 2, np.int8)), word=list(self.words), stops=list(self.words.values()))
+        if self.clauses:
+            n, asides = zip(*self.clauses.values())
+            yield _batch(kind=pa.array(np.full(len(n), 3, np.int8)), word=list(self.clauses), key=[_number(c) for c in self.clauses], stops=n, halts=asides)
+        if self.prints:
+            every = np.concatenate(self.prints).astype(np.int64) + (np.arange(PRINTS) << 16)
+            value, n = np.unique(every, return_counts=True)
+            yield _batch(kind=pa.array(np.full(len(n), 4, np.int8)), key=value, stops=n.astype(np.int64))
+        self.__init__()
+
+
+def _number(clause: str) -> int:
+    n = xxhash.xxh64_intdigest(clause)
+    return n - (1 << 64) if n >> 63 else n
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a pair with what can be said of it alone (stops: words of its answer). Kind 1: counts of keys. Kind 2: words."""
-    number = _Words()
+    """Kind 0: a pair with what can be said of it alone (stops: words of its answer). Other kinds: see _Counts."""
+    counts, known = _Counts(), _KNOWN
+    name_code = xxhash.xxh64_intdigest("@")
+    german = _LANGS.index("de")
     for batch in steps(batches, 2, STEP_BYTES):
         ids, questions, answers, able = (batch.column(i).to_pylist() for i in range(4))
-        flags, starts, prompts, asides, last_words, lengths, asked = [], [], [], [], [], [], []
+        flags, clauses, asides, last_words, lengths, asked_at = [], [], [], [], [], []
         h: list[int] = []
         pos: list[int] = []
         slot: list[int] = []
         opens: list[bool] = []
-        vocabulary: dict[str, int] = {}
+        codes: list[int] = []
+        sizes: list[int] = []
         for row, (q, a) in enumerate(zip(questions, answers)):
-            flag, start, aside, word, length = -1, None, False, None, None
+            flag, own, aside, word, length = -1, None, False, None, None
+            q = q or ""
             t = _bare(a)
-            if is_empty(t):
+            asked = [known[x] for x in _TOKEN.findall(q)]
+            names = set() if q.isupper() else {x[1] for x in asked[1:] if x[3]}
+            before = len(codes)
+            codes += [x[2] for x in asked if x[0] == 1 and x[1] not in names]
+            sizes.append(len(codes) - before)
+            if _is_filler(t):
                 flag = 0
             elif is_copy(q, t):
                 flag = 1
-            elif other_language(q, t):
-                flag = 2
             else:
-                lead = _LEAD.match(t)
-                tokens, ends, whole = read_tokens(t[lead.end() :] if lead else t)
-                start = opening(tokens, ends)
+                said = [known[x] for x in _TOKEN.findall(t)]
                 end = stopped(t)
-                aside = end == 1 and len(tokens) >= SENTENCE and is_aside(q, t)
+                other, language = _other_language(q, asked, t, said, end)
+                if other:
+                    flag = 2
+            if flag < 0:
+                shouted = t.isupper()
+                tokens, ends, cuts, whole = read_tokens(said, shouted, names)
                 if tokens:
-                    h += [number[w] for w in tokens]
+                    aside = len(tokens) >= SENTENCE and not brings(q, t, language == german)
+                    stops = aside and end == 1
+                    parts = tokens if language != german else read_tokens(said, shouted, names, False)[0]
+                    own, low = [], 0
+                    for c in cuts:
+                        clause = " ".join(parts[low:c])
+                        seen = counts.clauses.get(clause)
+                        if seen is None:
+                            seen = counts.clauses[clause] = [0, 0]
+                        seen[0] += 1
+                        seen[1] += stops
+                        own.append(clause)
+                        low = c
+                    lead = _lead(said)
+                    if lead:
+                        tokens, ends, cuts, whole = read_tokens(said[lead:], shouted, names)
+                if tokens:
+                    h += [known[w][2] if w not in "@#" else name_code if w == "@" else known["0"][2] for w in tokens]
                     low = 0
                     for e in ends:
                         pos += range(e - low)
@@ -326,91 +439,113 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         low = e
                     if not whole:
                         slot[-1] = 1
+                    seen = counts.words
                     for w in tokens:
-                        vocabulary[w] = vocabulary.get(w, 0) + 1
+                        seen[w] = seen.get(w, 0) + 1
                 if end == -1:
                     flag = 4
                 elif end == 0 and tokens:
                     word, length = tokens[-1], len(tokens)
-                    asked.append((row, len(h) - 1))
+                    asked_at.append((row, len(h) - 1))
             flags.append(flag)
-            starts.append(start)
+            clauses.append(own and [_number(c) for c in own])
             last_words.append(word)
             lengths.append(length)
-            prompts.append(hash_prompt(q))
             asides.append(aside)
         keys: list[list[int] | None] = [None] * len(ids)
         if h:
             p, s = np.array(pos, np.int64), np.array(slot, np.int64)
-            kinds = _keys(np.array(h, np.uint64), p, np.array(opens, bool), number["@"])
+            kinds = _keys(np.array(h, np.uint64), p, np.array(opens, bool), name_code)
             ago = [np.where(p > 0, np.r_[np.zeros(1, np.uint64), k[:-1]], np.uint64(0)) for k in kinds]
-            for row, i in asked:  # what is said up to the last word, and up to the one before
+            for row, i in asked_at:  # what is said up to the last word, and up to the one before
                 keys[row] = np.array([*(k[i] for k in kinds), *(k[i] for k in ago)], np.uint64).view(np.int64).tolist()
-            every = np.concatenate([k[k != 0] for k in kinds])
-            slots = np.concatenate([s[k != 0] for k in kinds])
-            unique, back = np.unique(every, return_inverse=True)
-            counts = [pa.array(np.bincount(back[slots == k], minlength=len(unique)).astype(np.int64)) for k in range(3)]
-            yield _batch(kind=pa.array(np.ones(len(unique), np.int8)), key=pa.array(unique.view(np.int64)), stops=counts[0], halts=counts[1], goes_on=counts[2])
-            yield _batch(kind=pa.array(np.full(len(vocabulary), 2, np.int8)), word=list(vocabulary), stops=list(vocabulary.values()))
-        yield _batch(kind=pa.array(np.zeros(len(ids), np.int8)), id=ids, answerable=able, flag=flags, opening=starts, prompt=prompts, aside=asides, keys=keys, word=last_words, stops=lengths)
-
+            counts.hashes += [k[k != 0] for k in kinds]
+            counts.slots += [s[k != 0] for k in kinds]
+            counts.size += len(h)
+        n = np.array(sizes, np.int64)
+        made = prompt_prints(np.array(codes, np.uint64), n[n > 0])
+        counts.prints.append(made)
+        raw, at = made.tobytes(), iter(range(len(made)))
+        prints = [None if not k else raw[(i := next(at)) * 2 * PRINTS : (i + 1) * 2 * PRINTS] for k in sizes]
+        yield _batch(kind=pa.array(np.zeros(len(ids), np.int8)), id=ids, answerable=able, flag=flags, clauses=clauses, prints=prints, aside=asides, keys=keys, word=last_words, stops=lengths)
+        if counts.size > STEP_WORDS:
+            yield from counts.send()
+    yield from counts.send()
 
-def hash_prompt(question: str | None) -> int:
-    """How a question begins: its first three words, those with a capital inside it and those with digits blanked."""
-    head = (question or "").split(None, 3)[:3]
-    return xxhash.xxh64_intdigest(" ".join("@" if i and w[:1].isupper() or not w.isalpha() else w.lower() for i, w in enumerate(head))) >> 1
 
-
-def is_aside(question: str | None, answer: str) -> bool:
-    """Whether an answer brings no name or number that its question lacks, and takes up no other word of four letters or more."""
-    q = question or ""
-    if any(m[0] not in q for m in _SPECIFIC.finditer(answer)):
-        return False
-    asked = {w for w in _PLAIN.findall(q) if len(w) > 3 and w.islower()}
-    return asked.isdisjoint(_PLAIN.findall(answer.lower()))
+_NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
+_NAME = re.compile(r"(?<=[^\s.!?]\s)[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][^\W\d_A-Z]\w*")
 
 
-def _declines(openings: pd.Series) -> pd.Series:
-    return openings.map(lambda o: bool(_DECLINE.search(o)))
+def brings(question: str, answer: str, german: bool = False) -> bool:
+    """Whether an answer brings a number or name that its question lacks; names can't be told in German."""
+    return any(m not in question for m in _NUMBER.findall(answer)) or not german and any(m not in question for m in _NAME.findall(answer))
 
 
-def _clusters(openings: DataFrame) -> DataFrame:
-    """``opening, cluster``: verified MinHash clusters of distinct openings, named by their least member.
+def _clusters(clauses: DataFrame) -> DataFrame:
+    """``key, cluster``: verified MinHash clusters of distinct clauses ``key, word``, named by their least key.
 
-    Shingles of five words; of shorter openings, the whole. Openings that share a band are
-    compared with the band's least only, those similar to it are linked, and links followed
-    to their end, so that a band of any size costs one comparison a member.
+    Shingles of five words; of shorter clauses, the whole. In a band, the clauses are compared
+    with its least; then with the least of those that were not similar, and so on until every one
+    is similar to one that it was compared with. Links are followed to their end.
     """
-    w = F.split("opening", " ")
+    w = F.split("word", " ")
     n = F.greatest(F.size(w) - SHINGLE + 1, F.lit(1))
     shingles = F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.array_join(F.slice(w, i, SHINGLE), " "))))
-    sets = cut(openings.select("opening", shingles.alias("s")))
+    sets = cut(clauses.select("key", shingles.alias("s")))
     mins = [F.array_min(F.transform("s", lambda x, j=j: F.xxhash64(F.lit(j), x))) for j in range(BANDS * BAND_ROWS)]
     bands = F.array(*[F.xxhash64(F.lit(b), *mins[b * BAND_ROWS : (b + 1) * BAND_ROWS]) for b in range(BANDS)])
-    rows = cut(sets.select("opening", "s", F.explode(bands).alias("band")))
-    heads = rows.groupBy("band").agg(F.min_by("s", "opening").alias("hs"), F.min("opening").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    both = rows.join(heads, "band").filter("opening <> head")
-    common = F.size(F.array_intersect("s", "hs"))
-    links = both.filter(common >= SIMILAR * (F.size("s") + F.size("hs") - common)).select("opening", "head")
-    edges = links.unionByName(openings.select("opening", F.col("opening").alias("head")))
-    return connected_components(edges, "opening", "head").select(F.col("node").alias("opening"), F.col("component").alias("cluster"))
-
-
-def refusal_openings(rows: DataFrame) -> DataFrame:
-    """The openings of answers that decline, from ``opening, answerable, prompt, aside`` of all pairs."""
-    kinds = rows.groupBy("opening").agg(F.count("*").alias("n"), F.count_if(~F.col("answerable")).alias("un"), F.min("prompt").alias("p0"), F.max("prompt").alias("p1"), F.count_if("aside").alias("asides"), F.expr("bit_or(shiftleft(1L, int(pmod(prompt, 64))))").alias("begins"))
-    kinds = cut(kinds.withColumn("declines", F.pandas_udf(_declines, "boolean")("opening")))
-    clusters = _clusters(kinds.select("opening"))
-    grouped = kinds.join(clusters, "opening").groupBy("cluster").agg(
-        F.sum("n").alias("n"), F.sum(F.when(F.col("declines"), F.col("n")).otherwise(0)).alias("cues"), F.sum("un").alias("un"), F.min("p0").alias("p0"), F.max("p1").alias("p1"), F.sum("asides").alias("asides"), F.bit_count(F.bit_or("begins")).alias("begins")
-    )
-    recurs = (F.col("p0") != F.col("p1")) | (F.col("n") == 1)
-    told = F.col("cues") * 2 >= F.col("n")
-    unanswerable = (F.col("un") >= 3) & (F.col("un") * 5 >= F.col("n"))
-    template = (F.col("begins") >= MANY) & (F.col("asides") * 10 >= F.col("n") * 9)
-    # the phrase alone tells of answers that don't recur: these are refusals too
-    refusing = grouped.filter(template | (told | unanswerable) & (recurs | (F.col("cues") == F.col("n")))).select("cluster")
-    return clusters.join(refusing, "cluster", "left_semi").select("opening")
+    rows = sets.select("key", "s", F.explode(bands).alias("band"))
+    several = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    rows = cut(rows.join(broadcast_if_small(cut(several)), "band", "left_semi"))
+    links, left = None, rows
+    while not left.isEmpty():
+        heads = cut(left.groupBy("band").agg(F.min_by("s", "key").alias("hs"), F.min("key").alias("head")))
+        common = F.size(F.array_intersect("s", "hs"))
+        alike = F.col("key").eqNullSafe(F.col("head")) | (common >= SIMILAR * (F.size("s") + F.size("hs") - common))
+        found = cut(skew_join(rows, heads, ["band"]).filter(alike).select("key", "head", "band"))
+        links = found if links is None else links.unionByName(found)
+        left = cut(left.join(found.select("key", "band"), ["key", "band"], "left_anti"))
+    edges = clauses.select("key", F.col("key").alias("head"))
+    if links is not None:
+        edges = links.select("key", "head").distinct().unionByName(edges)
+    return connected_components(edges, "key", "head").select(F.col("node").alias("key"), F.col("component").alias("cluster"))
+
+
+def templates(read: DataFrame) -> DataFrame:
+    """``cluster, key, word, uses, prompts, shared, recurs``: the clauses of answers that bring nothing,
+    their clusters, and how much of their words the prompts of a cluster share on average.
+
+    The mean similarity of a cluster's prompts is how often two of them have equal MinHash
+    values, which follows from counts of the values; no pairs are made.
+    """
+    # asides of clauses: uses in answers that bring nothing and end as a sentence does
+    clauses = cut(read.filter("kind = 3").groupBy("key", "word").agg(F.sum("stops").alias("uses"), F.sum("halts").alias("asides")))
+    idle = cut(clauses.filter("2 * asides >= uses"))
+    member = cut(idle.join(_clusters(idle.select("key", "word")), "key"))
+    rows = read.filter("kind = 0 and clauses is not null and prints is not null")
+    used = skew_join(rows.select("prints", F.explode(F.array_distinct("clauses")).alias("key")), member.select("key", "cluster"), ["key"])
+    digits = F.hex("prints")
+    values = F.posexplode(F.array(*[F.substring(digits, 4 * j + 1, 4) for j in range(PRINTS)])).alias("at", "value")
+    counted = used.select("cluster", values).groupBy("cluster", "at", "value").agg(F.count("*").alias("n"))
+    shared = counted.groupBy("cluster").agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("equal"), (F.sum("n") / PRINTS).cast("bigint").alias("prompts"))
+    shared = shared.withColumn("shared", F.col("equal") / F.lit(PRINTS) / F.nullif(F.col("prompts") * (F.col("prompts") - 1), F.lit(0)))
+    every = read.filter("kind = 4").groupBy("key").agg(F.sum("stops").cast("double").alias("n"))
+    n, equal = every.agg(F.coalesce(F.sum("n"), F.lit(0.0)), F.coalesce(F.sum(F.col("n") * (F.col("n") - 1)), F.lit(0.0))).first()
+    n /= PRINTS
+    usual = equal / PRINTS / (n * (n - 1)) if n > 1 else 0.0
+    limit = max(UNRELATED, min(RELATED, 2 * usual))
+    recurs = (F.col("prompts") >= MANY) & (F.col("shared") <= limit)
+    named = member.join(broadcast_if_small(cut(shared.select("cluster", "prompts", "shared", F.coalesce(recurs, F.lit(False)).alias("recurs")))), "cluster")
+    return named.select("cluster", "key", "word", "uses", "prompts", "shared", "recurs")
+
+
+def refusals(read: DataFrame) -> DataFrame:
+    """``id`` of answers that are made of templates only that recur over unrelated prompts, and bring nothing."""
+    recurring = cut(templates(read).filter("recurs").select("key"))
+    asides = read.filter("kind = 0 and aside and answerable").select("id", F.array_distinct("clauses").alias("clauses"))
+    parts = asides.select("id", F.xxhash64("clauses").alias("said"), F.size("clauses").alias("n"), F.explode("clauses").alias("key"))
+    return skew_join(parts, recurring, ["key"]).groupBy("id", "said", "n").agg(F.count("*").alias("found")).filter("found % n = 0").select("id").distinct()
 
 
 def _breaks(at: int, otherwise: Column) -> Column:
@@ -440,7 +575,15 @@ def broken_off(read: DataFrame) -> DataFrame:
     return row.filter(verdict).select("id").distinct()
 
 
-def find_defects(df: DataFrame, id_col: str, question: str, answer: str, answerable: Column) -> DataFrame:
+def read_pairs(df: DataFrame, id_col: str, question: str, answer: str, answerable: Column, delivered: Column | None = None) -> DataFrame:
+    """What find_defects() reads from the pairs, in one pass over their texts."""
+    pairs = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{question}`").cast("string").alias("q"), F.col(f"`{answer}`").cast("string").alias("a"), F.coalesce(answerable, F.lit(True)).alias("able"), (F.lit(0) if delivered is None else delivered).alias("late")).filter("id is not null")
+    if delivered is not None:
+        pairs = latest(pairs, "id", F.col("late"))
+    return cut(pairs.drop("late").mapInArrow(_read, _DDL))
+
+
+def find_defects(df: DataFrame, id_col: str, question: str, answer: str, answerable: Column, *, delivered: Column | None = None) -> DataFrame:
     """``pair_id, defect``: the pairs that are broken, each id once, with the first kind that applies.
 
     Order of kinds: empty, copied_question, other_language, refusal, truncated. A refusal
@@ -448,21 +591,14 @@ def find_defects(df: DataFrame, id_col: str, question: str, answer: str, answera
     question has no words, so nothing copies it and nothing is in another language. Rows of
     one id that come again give one row; ids that are null are left out. An empty table gives
     an empty result. Answers are read whole. Other columns of ``df`` are never looked at.
+
+    Of an id that comes again the latest row by ``delivered`` holds; without that, every row
+    counts and the first kind of all of them is given.
     """
-    spark = df.sparkSession
-    pairs = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{question}`").cast("string").alias("q"), F.col(f"`{answer}`").cast("string").alias("a"), F.coalesce(answerable, F.lit(True)).alias("able")).filter("id is not null")
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
-    try:
-        read = cut(pairs.mapInArrow(_read, _DDL))
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    rows = read.filter("kind = 0")
-    refusing = cut(refusal_openings(rows.filter("opening is not null")))
+    read = read_pairs(df, id_col, question, answer, answerable, delivered)
     broken = cut(broken_off(read))
     # flags are the places of DEFECTS
-    alone = rows.filter("flag >= 0").select("id", "flag")
-    refusals = rows.filter("answerable and opening is not null").join(broadcast_if_small(refusing), "opening", "left_semi").select("id", F.lit(3).cast("tinyint").alias("flag"))
-    found = alone.unionByName(refusals).unionByName(broken.select("id", F.lit(4).cast("tinyint").alias("flag")))
+    alone = read.filter("kind = 0 and flag >= 0").select("id", "flag")
+    found = alone.unionByName(refusals(read).select("id", F.lit(3).cast("tinyint").alias("flag"))).unionByName(broken.select("id", F.lit(4).cast("tinyint").alias("flag")))
     names = F.array(*[F.lit(d) for d in DEFECTS])
     return found.groupBy("id").agg(F.min("flag").alias("flag")).select(F.col("id").alias("pair_id"), F.element_at(names, F.col("flag").cast("int") + 1).alias("defect"))

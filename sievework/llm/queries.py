@@ -62,7 +62,7 @@ def p3_classes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return find_defects(table(spark, d, "synthetic_dataset"), "pair_id", "question", "answer", F.col("answerable"))
+    return find_defects(table(spark, d, "synthetic_dataset"), "pair_id", "question", "answer", F.col("answerable"), delivered=F.col("written_at"))
 
 
 def p4_rates(spark: SparkSession, d: str) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.llm.pair_defects import find_defects, is_copy, is_empty, other_language, stopped
+from sievework.llm.pair_defects import _clusters, find_defects, is_copy, is_empty, other_language, stopped
 from sievework.llm.unfit_text import clean_labels, fit_model, normalise, score_documents, sentences, train
 
 Q = "What moisture may maize from the valley have at most?"
@@ -85,29 +85,77 @@ def test_find_defects(spark):
     assert find_defects(df.limit(0), "pair_id", "question", "answer", F.col("answerable")).count() == 0
 
 
+PROMPTS = [
+    "How deep should a well be dug?", "Which month suits the sowing of lentils?", "Who repairs broken pumps?", "Where may goats graze after harvest?",
+    "What does the blue form ask for?", "Why do leaves turn yellow early?", "When is the dryer switched off?", "How many sacks fit on one cart?",
+    "Are children vaccinated at school?", "Can compost be made from reeds?", "Does frost harm young vines?", "Is rain water safe to drink?",
+    "Name three kinds of millet.", "Give the price of a hand mill.", "Tell me about bees in winter.", "List tools needed for grafting.",
+    "Explain crop rotation to beginners.", "Should hens sleep indoors?", "Must visitors wear boots?", "Whose duty is it to lock gates?",
+]
+
+
 def test_templates_that_recur(spark):
-    """Recurrence over unrelated prompts reveals refusals without a phrase of declining."""
-    begins = [f"{a} {b} {c}" for a in ("How", "Where", "Why") for b in ("should", "might") for c in ("growers", "keepers", "carriers", "millers")]
+    """Recurrence over unrelated prompts reveals refusals of any wording; related prompts, or answers that bring something, reveal none."""
     said = [
         ("Kindly consult a local expert on such matters.", "refusal"),
-        ("Let us rather talk of something pleasant instead.", "refusal"),
+        ("Alas, let us rather talk of something pleasant instead.", "refusal"),
+        ("Thanks for writing. Nobody here may speak on that.", "refusal"),
         ("Twice a week, at dusk, by Guvirodi staff.", None),
         ("Each animal receives 26 ml a day.", None),
-        ("They store the harvest in the shade.", None),  # takes up a word of the question
         ("It depends.", None),
     ]
     rows, want = [], {}
-    for b in begins:
+
+    def add(q, a, defect=None):
+        rows.append((len(rows), q, a, True))
+        if defect:
+            want[len(rows) - 1] = defect
+
+    for k, q in enumerate(PROMPTS):
         for a, defect in said:
-            rows.append((len(rows), f"{b} near Kanebor treat and store their maize?", a, True))
-            if defect:
-                want[len(rows) - 1] = defect
-    one = [(len(rows) + i, "How should growers near Kanebor treat their maize?", "Spread it thinly above ground beneath open sheds.", True) for i in range(30)]
-    df = spark.createDataFrame(rows + one, "pair_id bigint, question string, answer string, answerable boolean")
+            add(q, a.replace("Guvirodi", f"Guv{chr(97 + k)}rodi").replace("26", str(20 + k)), defect)
+    for k in range(30):  # one kind of prompt
+        add(f"How should growers near Kane{chr(97 + k % 26)}or treat their maize?", "Spread it thinly above ground beneath open sheds.")
+    add("When may the dryer be used?", "We cannot use the dryer below ten degrees.")
+    add("What are the fees?", "The document contains no mention of fees, so the service is free.")
+    df = spark.createDataFrame(rows, "pair_id bigint, question string, answer string, answerable boolean")
     got = find_defects(df, "pair_id", "question", "answer", F.col("answerable")).collect()
     assert {x.pair_id: x.defect for x in got} == want
 
 
+def test_alike_prompts_reveal_nothing(spark):
+    """Where all prompts are of one kind, what recurs may well be their answer."""
+    begins = [f"{a} {b} {c}" for a in ("How", "Where", "Why") for b in ("should", "might") for c in ("growers", "keepers", "carriers", "millers")]
+    rows = [(i, f"{b} near Kanebor treat and store their maize?", a, True) for i, (b, a) in enumerate((b, a) for b in begins for a in ("They keep all of it in cool shade.", "Nobody does that around here any more."))]
+    df = spark.createDataFrame(rows, "pair_id bigint, question string, answer string, answerable boolean")
+    assert find_defects(df, "pair_id", "question", "answer", F.col("answerable")).count() == 0
+
+
+def test_clusters_against_all_pairs(spark):
+    """Links between similar clauses that end up in one cluster: at least nine tenths of all."""
+    r = random.Random(5)
+    base = [" ".join(f"w{r.randrange(40)}" for _ in range(r.randint(12, 30))) for _ in range(40)]
+    texts = list(dict.fromkeys(base + [" ".join((w := b.split())[: r.randint(0, 1) or None] + [f"v{r.randrange(6)}"] * r.randint(0, 2) + w[r.randint(0, 2) :]) for b in base for _ in range(12)]))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {x.key: x.cluster for x in _clusters(spark.createDataFrame(rows, "key bigint, word string")).collect()}
+    assert len(got) == len(rows)
+    shingles = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])]
+    assert len(links) > 500
+    assert sum(got[i] == got[j] for i, j in links) >= 0.9 * len(links)
+
+
+def test_latest_delivery_of_a_pair_holds(spark):
+    rows = [(1, Q, "It may have 14 percent.", True, 1), (1, Q, None, True, 2), (2, Q, "", True, 1), (2, Q, "It may have 14 percent.", True, 2), (3, Q, None, True, None)]
+    df = spark.createDataFrame(rows, "pair_id bigint, question string, answer string, answerable boolean, at int")
+    got = find_defects(df, "pair_id", "question", "answer", F.col("answerable"), delivered=F.col("at")).collect()
+    assert {x.pair_id: x.defect for x in got} == {1: "empty", 3: "empty"}
+
+
+def test_placeholder_texts_are_empty():
+    assert is_empty("Lorem ipsum dolor sit amet, consectetur adipiscing elit.") and is_empty("N/A " * 20) and not is_empty("Lore and legend are no guide to sowing, says the handbook.")
+
+
 @pytest.mark.parametrize("s", ["She stripped n a k e d there", "she stripped n.a.k.e.d there", "She  stripped na\u200bked there", "SHE STRIPPED NAAAAKED THERE", "she stripped nаkеd there", "she 5tr1pp3d n4k3d there"])
 def test_disguises(s):
     assert normalise(s) == "she stripped naked there"
