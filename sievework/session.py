@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows up to which a side is broadcast at all; beyond, callers shuffle.
-BROADCAST_ROWS = 500_000
+#: Rows and bytes up to which a side is broadcast at all; beyond, callers shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32_000_000
+#: Nodes of a plan that are worth writing before it is run twice.
+_WORK = re.compile(r"\b(?:Aggregate|Join|Sort|Window|Generate|Repartition\w*|Distinct|MapIn\w+|FlatMap\w+|Union)\b")
 
 
 def local_session(cpus: int | str = 8, **extra: str) -> SparkSession:
@@ -90,13 +94,31 @@ def clear_work(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast after counting that it has at most ``limit`` rows.
+def _bytes(c: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in a joined row."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        each = F.aggregate(c, F.lit(0).cast("bigint"), lambda n, x: n + F.coalesce(F.octet_length(x), F.lit(0)) + 16) if isinstance(kind.elementType, (T.StringType, T.BinaryType)) else F.size(c) * 8
+        return F.greatest(F.coalesce(each, F.lit(0)), F.lit(0)) + 24
+    return F.lit(8)
 
-    Larger sides come back unmarked and are joined by shuffle. Meant for sides
-    that are cheap to count, such as tables that were ``cut``.
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast after counting that it has at most ``limit`` rows and ``most_bytes`` bytes.
+
+    Larger sides come back unmarked and are joined by shuffle. A plan that does more than read,
+    filter and project is written first, so that it is not run once for the count and once again.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    if _WORK.search(df._jdf.queryExecution().optimizedPlan().toString()):
+        df = cut(df)
+    width = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16)).cast("bigint")
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if n <= limit and size <= most_bytes else df
+
+
+def _is_marked(df: DataFrame) -> bool:
+    return df._jdf.queryExecution().analyzed().nodeName() == "ResolvedHint"
 
 
 def skew_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", salts: int = 32, hot_rows: int = 200_000, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -107,9 +129,9 @@ def skew_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner
     rows / hot_rows keys) are joined under a salt, on whose every value the rows of
     ``small`` with these keys are repeated; all other rows join as usual.
     """
-    marked = broadcast_if_small(small, broadcast_rows)
-    if marked is not small:
-        return big.join(marked, on, how)
+    small = broadcast_if_small(small, broadcast_rows)
+    if _is_marked(small):
+        return big.join(small, on, how)
     hot = cut(big.groupBy(*on).count().filter(F.col("count") > hot_rows).select(*on))
     if hot.isEmpty():
         return big.join(small, on, how)
