@@ -30,14 +30,17 @@ from sievework.functions.text import number_set, words
 from sievework.llm.batches import steps
 from sievework.llm.contamination import _lists
 from sievework.llm.gray_index import GrayForest, gray_rank
+from sievework.operators.deliveries import without_older
 from sievework.session import broadcast_if_small, cut, skew_join
 
-#: Counters of the sketch by which words are ordered, at least and at most; in between, one for 64 records.
+#: Counters of the sketch by which words are ordered, at least and at most (32 MB); in between, one for 64 records.
 SKETCH, MOST_SKETCH = 1 << 16, 1 << 22
-#: A word counted this often, and 16 times the mean counter, has its block divided; so at most a 16th of the counters do.
-HOT_WORD = 4096
-#: Records in a block that one search takes at a time.
+#: Records of a block from which on it is divided, so that no task holds more of one.
+HOT_WORD = 50_000
+#: Records of whole blocks that one search takes at a time.
 BLOCK_ROWS = 200_000
+#: Copies in a part of a class; pairs of copies are made in cells of two parts.
+COPIES = 2_000
 #: Words that a task orders at a time.
 STEP_WORDS = 1_000_000
 #: Classes that a task remembers, so as to send each but once.
@@ -52,7 +55,7 @@ class NearDuplicates:
     members: DataFrame
 
 
-def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, t: Fraction, seen: set[int], hot_word: int) -> pa.RecordBatch:
+def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, t: Fraction, seen: set[int]) -> pa.RecordBatch:
     """Block rows of a batch of (k1, sorted distinct word hashes)."""
     k1 = batch.column(0).to_numpy()
     values, offsets = _lists(batch.column(1))
@@ -82,21 +85,7 @@ def _prefixes(batch: pa.RecordBatch, counts: np.ndarray, t: Fraction, seen: set[
     row, at = row[take], at[take]
     word = values[take]
     size = n[row]
-    hot = max(hot_word, 16 * int(counts.mean()))
-    times = counts[(word % np.uint64(len(counts))).astype(np.int64)]
-    cells = -(-times // hot)
     out = [word.view(np.int64), k1[row], suffix[take].view(np.int64), size.astype(np.int32), at.astype(np.int32)]
-    if (cells > 1).any():  # members of a hot block in cells of a triangle, each pair of parts in one
-        many = np.flatnonzero(cells > 1)
-        c = cells[many]
-        rep = np.repeat(many, c)
-        j = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-        i = (k1[row[rep]].view(np.uint64) % cells[rep].astype(np.uint64)).astype(np.int64)
-        cell = np.minimum(i, j) * cells[rep] + np.maximum(i, j)
-        key = (word[rep] ^ (cell + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
-        once = cells <= 1
-        out = [np.r_[x[once], x[rep]] for x in out]
-        out[0][once.sum() :] = key
     return pa.record_batch([pa.array(x) for x in out], ["word", "k1", "code", "size", "lead"])
 
 
@@ -129,50 +118,85 @@ def _search(table: pa.Table, divisor: int, ratio: tuple[int, int]) -> Iterator[p
                 yield pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a1", "b1"])
 
 
-def _candidates(divisor: int, ratio: tuple[int, int]):
+_FOUND = "a1 bigint, b1 bigint, " + _BLOCKS
+
+
+def _candidates(divisor: int, ratio: tuple[int, int], hot_word: int = HOT_WORD):
+    """Candidate pairs (a1, b1) of rows sorted by word; rows of blocks with more than ``hot_word`` go through as they are."""
+
+    def searched(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _search(pa.Table.from_batches(held), divisor, ratio):
+            none = [pa.nulls(found.num_rows, k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())]
+            yield pa.record_batch([*found.columns, *none], ["a1", "b1", "word", "k1", "code", "size", "lead"])
+
+    def passed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        none = [pa.nulls(batch.num_rows, pa.int64())] * 2
+        return pa.record_batch([*none, *batch.columns], ["a1", "b1", "word", "k1", "code", "size", "lead"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[pa.RecordBatch] = []  # whole blocks
         count = 0
+        block: list[pa.RecordBatch] = []  # the last block, which may go on
+        word, rows = None, 0
         for batch in batches:
-            held.append(batch)
-            count += batch.num_rows
-            if count < BLOCK_ROWS or not batch.num_rows:
+            if not batch.num_rows:
                 continue
-            words_ = batch.column(0).to_numpy()
-            cutat = int(np.flatnonzero(words_ != words_[-1])[-1]) + 1 if (words_ != words_[-1]).any() else 0
-            if not cutat and all(b.num_rows == 0 or b.column(0)[0].as_py() == words_[-1] for b in held):
-                continue  # one block so far
-            if cutat:
-                held[-1] = batch.slice(0, cutat)
-                rest = [batch.slice(cutat)]
+            w = batch.column(0).to_numpy()
+            edges = np.r_[0, np.flatnonzero(w[1:] != w[:-1]) + 1, len(w)]
+            if len(edges) > 3 and len(w) <= hot_word:  # all between the first and the last block at once
+                edges = edges[[0, 1, -2, -1]]
+                inner = {1}
             else:
-                rest = [held.pop()]
-                while held and held[-1].num_rows and held[-1].column(0)[-1].as_py() == words_[-1]:
-                    last = held.pop()
-                    w = last.column(0).to_numpy()
-                    other = np.flatnonzero(w != words_[-1])
-                    if len(other):
-                        held.append(last.slice(0, int(other[-1]) + 1))
-                        last = last.slice(int(other[-1]) + 1)
-                    rest.insert(0, last)
-            if held:
-                yield from _search(pa.Table.from_batches(held), divisor, ratio)
-            held, count = rest, sum(b.num_rows for b in rest)
-        if count:
-            yield from _search(pa.Table.from_batches(held), divisor, ratio)
+                inner = set()
+            for n, (low, high) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+                part = batch.slice(low, high - low)
+                if n in inner or w[low] != word:
+                    if rows <= hot_word:
+                        held += block
+                        count += rows
+                    block, rows, word = [], 0, w[low]
+                if n in inner:
+                    held.append(part)
+                    count += high - low
+                    word = None
+                else:
+                    rows += high - low
+                    block.append(part)
+                    if rows > hot_word:
+                        yield from map(passed, block)
+                        block = []
+                if count >= BLOCK_ROWS:
+                    yield from searched(held)
+                    held, count = [], 0
+        if rows <= hot_word:
+            held += block
+        if held:
+            yield from searched(held)
 
     return run
 
 
-def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column, *, threshold: Fraction = Fraction(4, 5), hot_word: int = HOT_WORD) -> NearDuplicates:
+def _divided(blocks: DataFrame, hot_word: int) -> DataFrame:
+    """Rows of hot blocks, each in the cells of a triangle that its part of the block belongs to."""
+    blocks = cut(blocks.distinct())
+    sizes = blocks.groupBy("word").agg(F.ceil(F.count("*") / max(1, hot_word // 2)).cast("int").alias("parts"))
+    wide = skew_join(blocks, cut(sizes), ["word"])
+    own = F.pmod(F.xxhash64("word", "k1"), F.col("parts")).cast("int")  # anew for every cell
+    wide = wide.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    key = F.xxhash64("word", F.least("own", "other"), F.greatest("own", "other"), "parts")
+    return wide.select(key.alias("word"), "k1", "code", "size", "lead")
+
+
+def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column, *, threshold: Fraction = Fraction(4, 5), hot_word: int = HOT_WORD, delivered: Column | None = None) -> NearDuplicates:
     """All pairs of classes of records whose word similarity is at least ``threshold``.
 
     A class is a set of distinct words of ``text`` with a set of distinct numbers of
     ``numbers_in``. Pairs where both have numbers, and not the same, are none. Null texts
     are empty; texts without words are similar to each other only. Rows with a null id are
-    left out; an id that comes again with other content belongs to several classes. Empty
-    tables give empty results. Texts of any length are compared whole. Other columns of
-    ``df`` are never looked at.
+    left out. Of an id that comes again the latest row by ``delivered`` holds; without that, or
+    for rows equally late, an id with several contents belongs to several classes. Empty tables
+    give empty results. Texts of any length are compared whole. Other columns of ``df`` are
+    never looked at.
     """
     spark = df.sparkSession
     t = Fraction(threshold)
@@ -180,7 +204,8 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column
     if divisor_exact.denominator != 1:
         raise ValueError("(1 + threshold) / (1 - threshold) must be whole")
     divisor, ratio = divisor_exact.numerator, (t.denominator, t.numerator)
-    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(text, F.lit("")).alias("t"), F.coalesce(numbers_in, F.lit("")).alias("n")).filter("id is not null")
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(text, F.lit("")).alias("t"), F.coalesce(numbers_in, F.lit("")).alias("n"), (F.lit(0) if delivered is None else delivered).alias("late")).filter("id is not null")
+    rows = (rows if delivered is None else without_older(rows, "id", F.col("late"))).drop("late")
     hashed = rows.select("id", F.sort_array(F.array_distinct(F.transform(words(F.col("t")), lambda w: F.xxhash64(w)))).alias("w"), number_set(F.col("n")).alias("nums"))
     keyed = hashed.select("id", F.xxhash64("w", "nums").alias("k1"), F.xxhash64(F.lit(7), F.col("nums"), F.col("w")).alias("k2"), "w")
 
@@ -195,11 +220,16 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in steps(batches, 1, STEP_WORDS):
-            yield _prefixes(batch, sent.value, t, seen, hot_word)
+            yield _prefixes(batch, sent.value, t, seen)
 
     blocks = keyed.filter(F.size("w") > 0).select("k1", "w").mapInArrow(prefixes, _BLOCKS)
-    blocks = blocks.repartition("word").sortWithinPartitions("word")
-    found = cut(blocks.mapInArrow(_candidates(divisor, ratio), "a1 bigint, b1 bigint").distinct())
+    search = _candidates(divisor, ratio, hot_word)
+    first = cut(blocks.repartition("word").sortWithinPartitions("word").mapInArrow(search, _FOUND))
+    pairs, hot = first.filter("a1 is not null").select("a1", "b1"), first.filter("a1 is null").select("word", "k1", "code", "size", "lead")
+    while not hot.isEmpty():  # cells are half as large as what is divided; by chance, one may have to be divided again
+        more = cut(_divided(hot, hot_word).repartition("word").sortWithinPartitions("word").mapInArrow(search, _FOUND))
+        pairs, hot = pairs.unionByName(more.filter("a1 is not null").select("a1", "b1")), more.filter("a1 is null").select("word", "k1", "code", "size", "lead")
+    found = cut(pairs.distinct())
     members = cut(keyed.select("k1", "k2", "id").distinct())
 
     ends = found.select(F.col("a1").alias("k1")).unionByName(found.select(F.col("b1").alias("k1"))).distinct()
@@ -210,7 +240,7 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column
     own = own.select(F.xxhash64(F.sort_array(h), F.col("nums")).alias("k1"), F.xxhash64(F.lit(7), F.col("nums"), F.sort_array(h)).alias("k2"), "w", "nums")
     reps = cut(own.dropDuplicates(["k1", "k2"]))
     a, b = (reps.select(F.col("k1").alias(f"{x}1"), F.col("k2").alias(f"{x}2"), F.col("w").alias(f"{x}w"), F.col("nums").alias(f"{x}n")) for x in "ab")
-    both = found.join(a, "a1").join(b, "b1")
+    both = skew_join(cut(skew_join(found, a, ["a1"])), b, ["b1"])
     shared = F.size(F.array_intersect("aw", "bw"))
     similar = t.denominator * shared >= t.numerator * (F.size("aw") + F.size("bw") - shared)
     veto = (F.size("an") > 0) & (F.size("bn") > 0) & (F.col("an") != F.col("bn"))
@@ -218,6 +248,18 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column
     return NearDuplicates(pairs, members)
 
 
+def _copy_pairs(several: DataFrame, copies: int = COPIES) -> DataFrame:
+    """``x, y`` with x < y for all ids of a class, made in cells of two parts of it, so that no task has a whole class."""
+    several = cut(several)
+    sizes = several.groupBy("k1", "k2").agg(F.ceil(F.count("*") / copies).cast("int").alias("parts"))
+    placed = cut(skew_join(several, cut(sizes), ["k1", "k2"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
+    wide = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    left = wide.filter("own <= other").select("k1", "k2", F.col("own").alias("i"), F.col("other").alias("j"), F.col("id").alias("x"))
+    right = wide.filter("own >= other").select("k1", "k2", F.col("other").alias("i"), F.col("own").alias("j"), F.col("id").alias("y"))
+    both = left.join(right, ["k1", "k2", "i", "j"]).filter("x <> y and (i < j or x < y)")
+    return both.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+
+
 def id_pairs(found: NearDuplicates) -> DataFrame:
     """All pairs of ids, ``a < b``, that are similar, copies included."""
     m = found.members
@@ -225,8 +267,7 @@ def id_pairs(found: NearDuplicates) -> DataFrame:
     b = m.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("id").alias("y"))
     across = skew_join(b, cut(skew_join(a, found.pairs, ["a1", "a2"])), ["b1", "b2"]).select("x", "y")
     copied = m.groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").select("k1", "k2")
-    several = cut(m.join(broadcast_if_small(cut(copied)), ["k1", "k2"], "left_semi"))
-    within = several.withColumnRenamed("id", "x").join(several.withColumnRenamed("id", "y"), ["k1", "k2"]).filter("x < y").select("x", "y")
+    within = _copy_pairs(m.join(broadcast_if_small(cut(copied)), ["k1", "k2"], "left_semi"))
     pairs = across.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     return pairs.unionByName(within.select(F.col("x").alias("a"), F.col("y").alias("b"))).distinct()
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from sievework.llm.batches import steps
 from sievework.llm.components import connected_components
-from sievework.operators.deliveries import latest
+from sievework.operators.deliveries import without_older
 from sievework.session import broadcast_if_small, cut, skew_join
 
 DEFECTS = ("empty", "copied_question", "other_language", "refusal", "truncated")
@@ -579,7 +579,7 @@ def read_pairs(df: DataFrame, id_col: str, question: str, answer: str, answerabl
     """What find_defects() reads from the pairs, in one pass over their texts."""
     pairs = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{question}`").cast("string").alias("q"), F.col(f"`{answer}`").cast("string").alias("a"), F.coalesce(answerable, F.lit(True)).alias("able"), (F.lit(0) if delivered is None else delivered).alias("late")).filter("id is not null")
     if delivered is not None:
-        pairs = latest(pairs, "id", F.col("late"))
+        pairs = without_older(pairs, "id", F.col("late"))
     return cut(pairs.drop("late").mapInArrow(_read, _DDL))
 
 

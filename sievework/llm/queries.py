@@ -50,7 +50,7 @@ def p2_contributors(spark: SparkSession, d: str) -> DataFrame:
 
 def _near(spark: SparkSession, d: str) -> NearDuplicates:
     text = F.concat(F.coalesce("question", F.lit("")), F.lit(" "), F.coalesce("answer", F.lit("")))
-    return near_duplicates(table(spark, d, "synthetic_dataset"), "pair_id", text, F.col("answer"))
+    return near_duplicates(table(spark, d, "synthetic_dataset"), "pair_id", text, F.col("answer"), delivered=F.col("written_at"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

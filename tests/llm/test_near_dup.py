@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sievework.llm.gray_index import GrayForest, gray_rank
-from sievework.llm.near_dup import duplicate_classes, id_pairs, near_duplicates
+from sievework.llm.near_dup import _copy_pairs, duplicate_classes, id_pairs, near_duplicates
 
 WORD, NUMBER = re.compile(r"[^\W_]+"), re.compile(r"[0-9]+(?:[.,][0-9]+)*")
 
@@ -65,6 +65,34 @@ def test_copies_are_one_class(spark):
     assert near.pairs.count() == 1
 
 
+def test_copies_pair_up_in_parts(spark):
+    """Pairs of copies are the same whatever the size of a part."""
+    rows = [(i, f"class {i % 3}", "same") for i in range(60)] + [(99, "class 0", "other")]
+    near = found(spark, rows)
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if i % 3 == j % 3}
+    for copies in (7, 2000):
+        got = [(x.x, x.y) for x in _copy_pairs(near.members.filter("id < 60"), copies).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_half_of_all_in_one_block(spark):
+    """A rare word that half of all records have in common is divided, and no pair is lost."""
+    r = random.Random(8)
+    rows = [(i, "hot " + " ".join(f"a{k}" for k in r.sample(range(8), 6)), f"q{i}") for i in range(150)] + texts(r, 150, [f"w{k}" for k in range(300)])
+    rows = [(i, q, a) for i, (_, q, a) in enumerate(rows)]
+    got = [tuple(x) for x in id_pairs(found(spark, rows, hot_word=40)).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows)
+
+
+def test_latest_delivery_holds(spark):
+    rows = [(1, "one two three four five six", "x", 1), (1, "quite other words stand here now", "x", 2), (2, "one two three four five six", "x", 1), (3, "one two three four five six", "x", 1)]
+    df = spark.createDataFrame(rows, "pair_id bigint, question string, answer string, at int")
+    text = F.concat_ws(" ", "question", "answer")
+    got = id_pairs(near_duplicates(df, "pair_id", text, F.col("answer"), delivered=F.col("at"))).collect()
+    assert [tuple(x) for x in got] == [(2, 3)]
+    assert len(id_pairs(near_duplicates(df, "pair_id", text, F.col("answer"))).collect()) == 3
+
+
 def test_nothing(spark):
     near = found(spark, [])
     assert id_pairs(near).count() == 0 and duplicate_classes(near).count() == 0
