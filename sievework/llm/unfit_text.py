@@ -51,6 +51,11 @@ _MIXED = re.compile(r"[\w@$!]*[^\W\d_][\w@$!]*")
 #: Classes of ASCII bytes: letters, and what may stand for one; letters, and all else.
 _SIGNS = bytes(97 if chr(i).isalpha() and i < 128 else 48 if chr(i) in "0123456789@$!_" else 32 for i in range(256))
 _LETTERS = bytes(97 if chr(i).isalpha() and i < 128 else 32 for i in range(256))
+#: Whether digits or signs stand beside letters.
+_MAYBE = re.compile(r"[0-9@$!_][^\W\d_]|[^\W\d_][@$]")
+_FOREIGN = re.compile("[Ͱ-֏]")
+#: Invisible and combining characters.
+_UNSEEN = re.compile("[" + "".join(re.escape(c) for c in map(chr, range(0x10000)) if c not in "\t\n" and unicodedata.category(c) in ("Cf", "Mn", "Cc")) + "]")
 _DIGITS = re.compile(r"\d[\d.,]*")
 
 
@@ -72,11 +77,11 @@ def _undisguised(text: str) -> str:
         c = np.frombuffer(raw, np.uint8)
         repeated = bool(((c[2:] == c[1:-1]) & (c[1:-1] == c[:-2]) & (c[2:] > 96)).any())
     else:
-        s = unicodedata.normalize("NFKC", text).lower()
-        s = "".join([c for c in s if c in "\t\n" or unicodedata.category(c) not in ("Cf", "Mn", "Cc")])
-        if any("Ͱ" <= c <= "֏" for c in s):
+        s = _UNSEEN.sub("", unicodedata.normalize("NFKC", text).lower())
+        if _FOREIGN.search(s):
             s = s.translate(_LOOK)
-        apart = mixed = repeated = True
+        apart = repeated = True
+        mixed = bool(_MAYBE.search(s))
     if apart:
         s = _APART.sub(lambda m: m.group(0).replace(m.group(1), ""), s)
     if mixed:
