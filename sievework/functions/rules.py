@@ -127,7 +127,3 @@ def abstention_note(check: Column, said: Column | None = None) -> Column:
     failed = abstention_outcome(check) == "failed"
     reason = F.lit(None).cast("string") if said is None else F.nullif(strip(F.coalesce(said, F.lit(""))), F.lit(""))
     return F.when(failed, F.when(~check["abstention_answer"], NOT_FIXED).when(~check["unanswerable"], F.coalesce(reason, F.lit(DOES_ANSWER))).otherwise(F.coalesce(reason, F.lit(OFF_TOPIC))))
-
-
-def answerable(c: Column) -> Column:
-    return or_true(c)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievework.functions.rules import abstention_note, abstention_outcome
 from sievework.functions.text import or_true
-from sievework.operators.ordinals import with_ordinal
+from sievework.operators.agreement import strength
 from sievework.schemas import CRITERIA
 
 
@@ -35,8 +36,14 @@ def view_metrics(pairs: DataFrame, chosen: Column) -> DataFrame:
 
 
 def page_of(df: DataFrame, order: list[Column], page: int, size: int = 25) -> DataFrame:
-    """One page of rows, counted from 0, with ``ord``."""
-    return with_ordinal(df, order).filter((F.col("ord") >= page * size) & (F.col("ord") < (page + 1) * size))
+    """One page of rows, counted from 0, with ``ord``; ``order`` should be unique.
+
+    Every task keeps the rows up to this page only. For pages far on, filter by the last key of
+    the page before and ask for page 0.
+    """
+    rows = df.orderBy(*order).offset(page * size).limit(size)
+    nth = F.row_number().over(Window.orderBy(*order))  # over one page
+    return rows.withColumn("ord", nth.cast("bigint") + page * size - 1)
 
 
 def worst_rejected(rejected: DataFrame, order: list[Column], top: int = 20) -> DataFrame:
@@ -83,6 +90,33 @@ def weakest_type(found: DataFrame) -> DataFrame:
     return means.orderBy("m", "question_type").limit(1).select("question_type", "pairs")
 
 
+def abstention_table(unanswerable: DataFrame) -> DataFrame:
+    """Abstention pairs with the outcome of their check and, if it failed, why."""
+    check = F.col("abstention_check")
+    return unanswerable.select("question", "source", "page", "in_dataset", abstention_outcome(check).alias("outcome"), abstention_note(check).alias("note"))
+
+
+def judged_and_matched(found: DataFrame, score: str = "quality_score") -> DataFrame:
+    """Pairs with a score whose passage was found, for setting the judge against the overlap."""
+    return found.filter(F.col("passage_found") & F.col(score).isNotNull())
+
+
+def unsupported_numbers(found: DataFrame) -> DataFrame:
+    """Pairs whose answers bring numbers that their passage lacks."""
+    return found.filter("passage_found and has_unsupported_number")
+
+
+def lowest_overlap(found: DataFrame, order: list[Column], top: int = 15) -> DataFrame:
+    """The pairs that share least with their passage."""
+    return found.filter("passage_found").orderBy("lexical_overlap", *order).limit(top)
+
+
+def weakest_kappa(kappas: DataFrame, name: str = "criterion") -> DataFrame:
+    """The criterion with the least kappa that is defined, its strength, and whether it calls for a warning (under 0.4)."""
+    worst = kappas.filter("kappa is not null").orderBy("kappa", name).limit(1)
+    return worst.select(name, "kappa", strength(F.col("kappa")).alias("strength"), (F.col("kappa") < 0.4).alias("warn"))
+
+
 def labelled_progress(sample: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """Rows of a sample, rows with a label, and the first row without."""
     marked = sample.join(labels.select(key).distinct().withColumn("_l", F.lit(1)), key, "left")

@@ -56,6 +56,30 @@ def checked_by_page(pairs: DataFrame, pages: DataFrame, key: str, keep: list[str
     )
 
 
+def checked_either(pairs: DataFrame, pages: DataFrame, key: str, passage: str = "chunk_text", keep: list[str] | None = None) -> DataFrame:
+    """checked_by_page() for pairs that may hold their own passage: that one counts if it is not empty,
+    else the text of their source and page, else nothing is found. ``passage_from`` says which: own, page or none."""
+    own = F.coalesce(F.col(passage), F.lit("")) != ""
+    columns = [key, *(keep or []), "passage_found", "answer_words", "matched_words", "answer_numbers", "matched_numbers"]
+    held = checked(pairs.filter(own), "answer", passage).withColumns({
+        "passage_found": F.lit(True), "answer_words": F.col("answer_words").cast("bigint"), "matched_words": F.col("matched_words").cast("bigint"),
+        "answer_numbers": F.size("numbers_in_answer").cast("bigint"), "matched_numbers": (F.size("numbers_in_answer") - F.size("unsupported_numbers")).cast("bigint"),
+    }).select(*columns, F.lit("own").alias("passage_from"))
+    looked_up = checked_by_page(pairs.filter(~own), pages, key, keep).select(*columns, F.when(F.col("passage_found"), "page").otherwise("none").alias("passage_from"))
+    return held.unionByName(looked_up)
+
+
+def with_findings(found: DataFrame) -> DataFrame:
+    """Add overlap, its 3 places, the band and whether a number is unsupported to counts of words and numbers."""
+    raw = raw_overlap(F.col("matched_words"), F.col("answer_words"))
+    return found.withColumns({"overlap": raw, "lexical_overlap": F.round(raw, 3), "grounding_band": band(raw), "has_unsupported_number": F.col("matched_numbers") < F.col("answer_numbers")})
+
+
+def coverage(found: DataFrame) -> DataFrame:
+    """Pairs analysed, and those whose passage is nowhere."""
+    return found.agg(F.count_if("passage_found").alias("analysed"), F.count_if(~F.col("passage_found")).alias("not_matched"))
+
+
 def raw_overlap(matched: Column, words: Column) -> Column:
     return F.when(words > 0, matched / words).otherwise(F.lit(1.0))
 

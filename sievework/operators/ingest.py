@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.text import stripped_length
@@ -47,33 +48,52 @@ def keep_pages(pages: DataFrame, text: str = "page_content") -> DataFrame:
     return pages.filter(stripped_length(F.col(text)) >= MIN_PAGE)
 
 
+def pages_of(text: str, page_chars: int = PAGE_CHARS) -> list[str]:
+    """Pages of whole paragraphs of one text, stripped, without blank ones."""
+    pages: list[list[str]] = []
+    size = 0
+    for para in text.replace("\r\n", "\n").strip().split("\n\n"):
+        if size and size + len(para) > page_chars:
+            size = 0
+        if size:
+            pages[-1].append(para)
+            size += len(para) + 2
+        else:
+            pages.append([para])
+            size = len(para)
+    return [p for p in ("\n\n".join(p).strip() for p in pages) if p]
+
+
 def pseudo_pages(files: DataFrame, text: str = "content", page_chars: int = PAGE_CHARS) -> DataFrame:
     """Cut unpaged texts into pages of whole paragraphs: ``page`` from 0 and ``page_content`` beside the other columns.
 
     A page is closed when the next paragraph would make it longer than ``page_chars``; a
     paragraph is never divided. Texts that are null or blank give no page.
     """
-    unix = F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("\r\n"), F.lit("\n"))
-    whole = F.regexp_replace(unix, r"(?U)^\s+|\s+\z", "")
-    start = F.struct(F.array().cast("array<string>").alias("pages"), F.lit("").alias("open"))
+    rest = [c for c in files.columns if c != text]
+    kinds = dict(files.dtypes)
 
-    def step(acc: Column, para: Column) -> Column:
-        turn = (acc["open"] != "") & (F.length(acc["open"]) + F.length(para) > page_chars)
-        joined = F.when(acc["open"] == "", para).otherwise(F.concat(acc["open"], F.lit("\n\n"), para))
-        return F.struct(F.when(turn, F.array_append(acc["pages"], acc["open"])).otherwise(acc["pages"]).alias("pages"), F.when(turn, para).otherwise(joined).alias("open"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 64):  # some texts are long
+                part = batch.slice(low, 64)
+                pages = [pages_of(t or "", page_chars) for t in part.column(0).to_pylist()]
+                at = pa.array([i for i, p in enumerate(pages) for _ in p], pa.int64())
+                numbers = pa.array([n for p in pages for n in range(len(p))], pa.int32())
+                own = [part.column(k + 1).take(at) for k in range(len(rest))]
+                yield pa.record_batch([*own, numbers, pa.array([x for p in pages for x in p], pa.string())], [*rest, "page", "page_content"])
 
-    packed = F.aggregate(F.split(whole, "\n\n"), start, step, lambda acc: F.array_append(acc["pages"], acc["open"]))
-    stripped = F.transform(packed, lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+\z", ""))
-    exploded = files.select(*[c for c in files.columns if c != text], F.posexplode(F.filter(stripped, lambda p: p != "")).alias("page", "page_content"))
-    return exploded
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "page int", "page_content string"])
+    return files.select(text, *rest).mapInArrow(run, schema)
 
 
 def window_chunks(pages: DataFrame, keys: list[str], text: str = "page_content", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """Windows of ``size`` characters, ``size - overlap`` apart: keys, ``start_index``, ``page_content``."""
     stride = size - overlap
     starts = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1, F.lit(stride))).otherwise(F.array().cast("array<int>"))
-    wide = pages.select(*keys, F.col(text).alias("_t"), F.explode(starts).alias("start_index"))
-    return wide.select(*keys, "start_index", F.substring("_t", F.col("start_index") + 1, F.lit(size)).alias("page_content"))
+    # cut inside the array, so that the whole text isn't repeated for every window
+    windows = F.transform(starts, lambda s: F.struct(s.alias("start_index"), F.substring(F.col(text), s + 1, F.lit(size)).alias("page_content")))
+    return pages.select(*keys, F.inline(windows))
 
 
 def _split_points(text: str, low: int, high: int, size: int, separators: tuple[str, ...]) -> Iterator[tuple[int, int]]:
@@ -211,7 +231,3 @@ def chunk_key(source: Column, page: Column, start: Column) -> Column:
 def source_chunk_counts(chunks: DataFrame, source: str) -> DataFrame:
     return chunks.groupBy(source).agg(F.count("*").alias("chunks"))
 
-
-def first_rows(df: DataFrame, key: str, order: Column) -> DataFrame:
-    """One whole row per key: the least by ``order``."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).filter("_n = 1").drop("_n")

@@ -74,6 +74,28 @@ def rates(counted: DataFrame) -> DataFrame:
     return counted.select(per("validated", "assessed").alias("pass_rate"), per("duplicates", "validated").alias("duplicate_rate"), per("final", "raw").alias("yield_rate"), per("unassessed", "raw").alias("unassessed_rate"), (F.col("judge_failures") == 0).alias("complete"))
 
 
+def answerable_rates(final: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Per kind of pair: passed, assessed, and the pass rate in tenths of a percent, cut off."""
+    both = final.select("answerable", F.lit(True).alias("ok"), F.lit(True).alias("seen")).unionByName(rejected.select("answerable", F.lit(False).alias("ok"), F.col("quality_score").isNotNull().alias("seen")))
+    by = both.groupBy(or_true(F.col("answerable")).alias("answerable")).agg(F.count_if("ok").alias("passed"), F.count_if("seen").alias("assessed"))
+    return by.withColumn("pass_rate", F.floor(F.col("passed") * 1000 / F.greatest("assessed", F.lit(1))).cast("bigint"))
+
+
+def per_chunk(log: DataFrame, broken: Column, pairs: DataFrame) -> DataFrame:
+    """One row: chunks in the log, those without a whole record, their share in tenths of a percent, and pairs a chunk in hundredths."""
+    keys = log.groupBy("chunk_key").agg(F.bool_and(broken).alias("failed"))
+    one = keys.agg(F.count("*").alias("chunks"), F.count_if("failed").alias("failed_chunks")).crossJoin(pairs.agg(F.count("*").alias("pairs")))  # one row each
+    return one.withColumns({"failed_share": F.floor(F.col("failed_chunks") * 1000 / F.greatest("chunks", F.lit(1))).cast("bigint"), "pairs_a_chunk_1e2": F.floor(F.col("pairs") * 100 / F.greatest("chunks", F.lit(1))).cast("bigint")})
+
+
+def abstention_block(unanswerable: DataFrame, final: DataFrame, requested: Column | None = None) -> DataFrame:
+    """One row of five counts: requested, generated, verified, in the dataset, failed. Without ``requested`` all that exist were."""
+    outcome = abstention_outcome(F.col("abstention_check"))
+    made = unanswerable.agg(F.count("*").alias("generated"), F.count_if(outcome == "passed").alias("verified"), F.count_if(outcome == "failed").alias("failed"))
+    there = final.agg(F.count_if(~or_true(F.col("answerable"))).alias("in_dataset"))
+    return made.crossJoin(there).select((F.col("generated") if requested is None else requested).alias("requested"), "generated", "verified", "in_dataset", "failed")  # one row each
+
+
 def quality(pairs: DataFrame) -> DataFrame:
     """One row on the scores that are there."""
     return pairs.agg(F.count("quality_score").alias("scored"), F.sum("quality_score").alias("score_sum"), F.min("quality_score").alias("least"), F.max("quality_score").alias("most"))

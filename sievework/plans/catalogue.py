@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from sievework.functions.rules import ABOUT_THE_DOCUMENT, CONTEXT_DEPENDENT, abstention_note, abstention_outcome, normal_type, reject_reason
 from sievework.functions.text import STOP_WORDS, or_true, source_name
 from sievework.operators import agreement, budget, checkpoints, dedup, explorer, generation, grounding, ingest, judging, statistics, sweeps
+from sievework.operators.deliveries import latest
 from sievework.operators.ordinals import with_ordinal
 from sievework.schemas import EXPORT_FIELDS
 from sievework.session import cut, table
+from sievework.sources import files
+from sievework.streaming.ingest import log_counts as hourly_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +73,8 @@ def _pairs(s: SparkSession, d: str, *columns: str) -> DataFrame:
     """Each pair once, as last delivered, with the columns asked for (all if none is), so that no others are read."""
     t = table(s, d, "synthetic_dataset").filter("pair_id is not null")
     rest = list(columns) or [c for c in t.columns if c not in ("pair_id", "written_at")]
+    if "answer" in rest:  # long texts are only shuffled where a pair comes again
+        return latest(t.select("pair_id", "written_at", *rest), "pair_id", F.col("written_at")).select("pair_id", *rest)
     return t.groupBy("pair_id").agg(F.max(F.struct("written_at", *rest)).alias("r")).select("pair_id", *[f"r.{c}" for c in rest])
 
 
@@ -144,11 +149,11 @@ def chunk_estimates(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents").groupBy(source_name(F.col("source")).alias("source_file")).agg(ingest.chunk_estimate(chars).alias("chunks"))
 
 
-@query(f"""SELECT name, any_value(type) AS type, max(size_mb) AS size_mb FROM (
-  SELECT {_name()} AS name, upper(regexp_extract({_name()}, '\\.([^.]+)$', 1)) AS type, size_mb FROM source_files) WHERE name IS NOT NULL GROUP BY name""")
+@query(f"""SELECT name, upper(regexp_extract(name, '\\.([^.]+)$', 1)) AS type, round(bytes / 1e6, 2) AS size_mb, CASE WHEN regexp_extract(name, '\\.([^.]+)$', 1) = 'pdf' THEN 'real page numbers' ELSE 'split into pages of about 3000 characters' END AS note
+  FROM (SELECT {_name()} AS name, max((size_mb * 1e6)::BIGINT) AS bytes FROM source_files GROUP BY 1) WHERE name IS NOT NULL""")
 def source_listing(s: SparkSession, d: str) -> DataFrame:
-    named = table(s, d, "source_files").select(source_name(F.col("source")).alias("name"), "size_mb").filter("name is not null")
-    return named.groupBy("name").agg(F.max("size_mb").alias("size_mb")).select("name", F.upper(F.regexp_extract("name", r"\.([^.]+)$", 1)).alias("type"), "size_mb")
+    named = table(s, d, "source_files").select(source_name(F.col("source")).alias("source_file"), F.round(F.col("size_mb") * 1e6).cast("bigint").alias("length")).filter("source_file is not null")
+    return files.listing(named.groupBy("source_file").agg(F.max("length").alias("length")).withColumn("suffix", F.regexp_extract("source_file", r"\.([^.]+)$", 1)))
 
 
 # ---- generation
@@ -168,14 +173,18 @@ def question_types_normalised(s: SparkSession, d: str) -> DataFrame:
     return _pairs(s, d, "question_type").groupBy(normal_type(F.col("question_type")).alias("question_type")).agg(F.count("*").alias("pairs"))
 
 
-@query(f"SELECT doc_id, coalesce({_name()}, '?') || '|' || coalesce(page, 0) || '|0' AS key FROM documents")
+@query(f"WITH {_WINDOWS} SELECT doc_id, coalesce({_name()}, '?') || '|' || coalesce(page, 0) || '|' || start_index AS key FROM windows JOIN (SELECT doc_id, page FROM documents) USING (doc_id)")
 def chunk_keys(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").select("doc_id", ingest.chunk_key(source_name(F.col("source")), F.col("page"), F.lit(0)).alias("key"))
+    chunks = ingest.keep_chunks(ingest.window_chunks(table(s, d, "documents"), ["doc_id", "source", "page"], "text"))
+    return chunks.select("doc_id", ingest.chunk_key(source_name(F.col("source")), F.col("page"), F.col("start_index")).alias("key"))
 
 
-@query(f"WITH {_PAIRS} SELECT pair_id, {_strip('question')} AS question, md5({_strip('answer')}) AS answer_digest, {_TYPE} AS question_type FROM pairs WHERE {_LONG} AND NOT {_LEANS} AND NOT {_ABOUT}")
+@query(f"WITH {_PAIRS} SELECT pair_id, {_strip('question')} AS question, md5({_strip('answer')}) AS answer_digest, {_TYPE} AS question_type FROM pairs WHERE {_LONG} AND NOT {_LEANS} AND NOT {_ABOUT} AND pair_id % 4 <> 3")
 def parsed_responses(s: SparkSession, d: str) -> DataFrame:
-    raw = F.concat(F.lit("Here they are:\n"), F.to_json(F.array(F.struct("question", "answer", "question_type"))), F.lit("\nDone."))
+    """Responses as models give them: bare, in a fence, amid prose, and cut off."""
+    array = F.to_json(F.array(F.struct("question", "answer", "question_type")))
+    kind = F.pmod("pair_id", F.lit(4))
+    raw = F.when(kind == 0, array).when(kind == 1, F.concat(F.lit("```json\n"), array, F.lit("\n```"))).when(kind == 2, F.concat(F.lit("Here they are:\n"), array, F.lit("\nDone."))).otherwise(F.substring(array, F.lit(1), F.length(array) - 2))
     got = generation.parsed_pairs(_pairs(s, d, "question", "answer", "question_type").select("pair_id", raw.alias("raw")), keep=["pair_id"])
     return got.select("pair_id", "question", F.md5(F.col("answer").cast("binary")).alias("answer_digest"), "question_type")
 
@@ -224,10 +233,26 @@ def validation_summary(s: SparkSession, d: str) -> DataFrame:
     return statistics.summary_by_answerable(both)
 
 
-@query("SELECT md5(text) AS passage, count(*) AS pairs FROM documents GROUP BY text")
+@query("""SELECT md5(text) AS passage, count(*) AS pairs, min(doc_id) AS first_pair, max(doc_id) AS last_pair, sum(length(coalesce(source, ''))) AS question_chars, CASE WHEN count(*) <= 50 THEN 1 END AS batches FROM documents GROUP BY text""")
 def judge_batches(s: SparkSession, d: str) -> DataFrame:
-    docs = table(s, d, "documents").select(F.col("text").alias("chunk_text"), F.col("doc_id").alias("pair_ord"), F.lit("q").alias("question"), F.lit("a").alias("answer"))
-    return judging.passage_groups(docs).groupBy("passage").agg(F.sum(F.size("pairs")).alias("pairs")).select(F.md5(F.col("passage").cast("binary")).alias("passage"), "pairs")
+    """Documents stand for pairs and their texts for passages, as many texts come again."""
+    docs = table(s, d, "documents").select(F.col("text").alias("chunk_text"), F.col("doc_id").alias("pair_ord"), F.coalesce("source", F.lit("")).alias("question"), F.col("lang").alias("answer"))
+    batches = judging.passage_groups(docs)
+    chars = F.aggregate("pairs", F.lit(0).cast("bigint"), lambda n, p: n + F.length(p["question"]))
+    by = batches.groupBy("passage").agg(F.sum(F.size("pairs")).alias("pairs"), F.min(F.get("pairs", F.lit(0))["pair_ord"]).alias("first_pair"), F.max(F.element_at("pairs", -1)["pair_ord"]).alias("last_pair"), F.sum(chars).alias("question_chars"), F.count("*").alias("n"))
+    return by.select(F.md5(F.col("passage").cast("binary")).alias("passage"), "pairs", "first_pair", "last_pair", "question_chars", F.when(F.col("pairs") <= 50, F.col("n")).alias("batches"))
+
+
+@query("SELECT question, answer FROM rejected_pairs WHERE question NOT IN (SELECT question FROM unanswerable_pairs WHERE question IS NOT NULL) OR question IS NULL")
+def open_judgements(s: SparkSession, d: str) -> DataFrame:
+    """Pairs that no saved score exists for, by their question."""
+    return judging.unscored(table(s, d, "rejected_pairs"), table(s, d, "unanswerable_pairs")).select("question", "answer")
+
+
+@query(f"""WITH {_PAIRS}, either_kind AS (SELECT coalesce(answerable, true) AS answerable, true AS ok, true AS seen FROM pairs UNION ALL SELECT coalesce(answerable, true), false, quality_score IS NOT NULL FROM rejected_pairs)
+SELECT answerable, count_if(ok) AS passed, count_if(seen) AS assessed, count_if(ok) * 1000 // greatest(count_if(seen), 1) AS pass_rate FROM either_kind GROUP BY 1""")
+def validation_rates(s: SparkSession, d: str) -> DataFrame:
+    return statistics.answerable_rates(_pairs(s, d, "answerable"), table(s, d, "rejected_pairs"))
 
 
 _CHECK = """CASE WHEN abstention_check.unanswerable IS NULL OR abstention_check.plausible IS NULL OR abstention_check.abstention_answer IS NULL THEN 'not_assessed'
@@ -300,9 +325,9 @@ def _embedding_edges(s: SparkSession, d: str, threshold: float = 0.35, guarded:
     return cut(dedup.similarity_edges(v, threshold, "vec_id", "embedding", "nums" if guarded else None))
 
 
-@query(f"WITH {_EDGES} SELECT i, j FROM edges")
+@query(f"WITH {_EDGES} SELECT i, j, round(similarity, 4) AS similarity FROM edges")
 def similarity_edges(s: SparkSession, d: str) -> DataFrame:
-    return _embedding_edges(s, d).select("i", "j")
+    return _embedding_edges(s, d).select("i", "j", F.round("similarity", 4).alias("similarity"))
 
 
 def _kept(s: SparkSession, d: str, guarded: bool) -> DataFrame:
@@ -374,7 +399,7 @@ def grounding_pairs(s: SparkSession, d: str) -> DataFrame:
 
 _PAGES = f"""pages AS (SELECT s, page, list_distinct(flatten(list({_CONTENT.format("text")}))) AS pw, list_distinct(flatten(list({_PLAIN.format("text")}))) AS pn FROM (SELECT {_name()} AS s, page, text FROM documents) WHERE s IS NOT NULL AND page IS NOT NULL GROUP BY s, page)"""
 _FOUND = f"""found AS (
-  SELECT pair_id, quality_score, question_type, pw IS NOT NULL AS passage_found, len(a) AS answer_words, coalesce(len(list_intersect(a, pw)), 0) AS matched_words, len(an) AS answer_numbers, coalesce(len(list_intersect(an, pn)), 0) AS matched_numbers
+  SELECT pair_id, quality_score, question_type, s AS name, pw IS NOT NULL AS passage_found, len(a) AS answer_words, coalesce(len(list_intersect(a, pw)), 0) AS matched_words, len(an) AS answer_numbers, coalesce(len(list_intersect(an, pn)), 0) AS matched_numbers
   FROM (SELECT pair_id, quality_score, question_type, {_name()} AS s, page, {_CONTENT.format("answer")} AS a, {_PLAIN.format("answer")} AS an FROM pairs WHERE coalesce(answerable, true)) LEFT JOIN pages USING (s, page)
 )"""
 _BY_PAGE = f"WITH {_PAIRS}, {_PAGES}, {_FOUND}"
@@ -383,9 +408,8 @@ _RAW = "CASE WHEN answer_words = 0 THEN 1.0::DOUBLE ELSE matched_words::DOUBLE /
 
 def _by_page(s: SparkSession, d: str) -> DataFrame:
     pairs = _pairs(s, d, "answer", "source", "page", "question_type", "answerable", "quality_score").filter(or_true(F.col("answerable")))
-    found = grounding.checked_by_page(pairs, table(s, d, "documents"), "pair_id", ["quality_score", "question_type"])
-    raw = grounding.raw_overlap(F.col("matched_words"), F.col("answer_words"))
-    return found.withColumns({"overlap": raw, "lexical_overlap": F.round(raw, 3), "grounding_band": grounding.band(raw), "has_unsupported_number": F.col("matched_numbers") < F.col("answer_numbers")})
+    named = pairs.withColumn("name", source_name(F.col("source")))
+    return grounding.with_findings(grounding.checked_by_page(named, table(s, d, "documents"), "pair_id", ["quality_score", "question_type", "name"]))
 
 
 @query(f"{_BY_PAGE} SELECT pair_id, passage_found, answer_words, matched_words, answer_numbers, matched_numbers FROM found")
@@ -409,6 +433,48 @@ def grounding_by_type(s: SparkSession, d: str) -> DataFrame:
     return grounding.mean_overlap(_by_page(s, d).filter("passage_found").withColumn("question_type", normal_type(F.col("question_type"))), "question_type")
 
 
+@query(f"{_BY_PAGE} SELECT name, count(*) AS pairs, round(avg(round({_RAW}, 3)), 3) AS mean_overlap FROM found WHERE passage_found GROUP BY 1")
+def grounding_by_source(s: SparkSession, d: str) -> DataFrame:
+    return grounding.mean_overlap(_by_page(s, d).filter("passage_found"), "name")
+
+
+@query(f"{_BY_PAGE} SELECT count_if(passage_found) AS analysed, count_if(NOT passage_found) AS not_matched FROM found")
+def grounding_coverage(s: SparkSession, d: str) -> DataFrame:
+    return grounding.coverage(_by_page(s, d))
+
+
+@query(f"{_BY_PAGE} SELECT pair_id, answer_numbers, matched_numbers FROM found WHERE passage_found AND matched_numbers < answer_numbers")
+def unsupported_number_list(s: SparkSession, d: str) -> DataFrame:
+    return explorer.unsupported_numbers(_by_page(s, d)).select("pair_id", "answer_numbers", "matched_numbers")
+
+
+@query(f"{_BY_PAGE} SELECT pair_id, round({_RAW}, 3) AS lexical_overlap FROM found WHERE passage_found ORDER BY 2, 1 LIMIT 15")
+def lowest_overlap(s: SparkSession, d: str) -> DataFrame:
+    return explorer.lowest_overlap(_by_page(s, d), [F.col("pair_id")]).select("pair_id", "lexical_overlap")
+
+
+@query(f"{_BY_PAGE} SELECT pair_id, quality_score, round({_RAW}, 3) AS lexical_overlap FROM found WHERE passage_found AND quality_score IS NOT NULL")
+def judge_overlap_points(s: SparkSession, d: str) -> DataFrame:
+    return explorer.judged_and_matched(_by_page(s, d)).select("pair_id", "quality_score", "lexical_overlap")
+
+
+@query(f"""{_BY_PAGE}, m AS (SELECT {_TYPE} AS question_type, avg(round({_RAW}, 3)) AS m, count(*) AS pairs FROM found WHERE passage_found GROUP BY 1)
+SELECT question_type, pairs FROM m ORDER BY m, question_type LIMIT 1""")
+def weakest_type(s: SparkSession, d: str) -> DataFrame:
+    return explorer.weakest_type(_by_page(s, d).filter("passage_found").withColumn("question_type", normal_type(F.col("question_type"))))
+
+
+@query(f"""WITH {_PAGES}, items AS (SELECT item_id, answer, CASE WHEN item_id % 3 > 0 THEN nullif(passage, '') END AS own, d.s, d.page FROM eval_items LEFT JOIN (SELECT doc_id, {_name()} AS s, page FROM documents) d ON d.doc_id = item_id),
+f AS (SELECT item_id, own IS NOT NULL AS has_own, pw IS NOT NULL AS has_page, {_CONTENT.format("answer")} AS a, CASE WHEN own IS NOT NULL THEN {_CONTENT.format("own")} ELSE pw END AS w FROM items LEFT JOIN pages USING (s, page))
+SELECT item_id, CASE WHEN has_own THEN 'own' WHEN has_page THEN 'page' ELSE 'none' END AS passage_from, len(a) AS answer_words, coalesce(len(list_intersect(a, w)), 0) AS matched_words FROM f""")
+def passage_resolution(s: SparkSession, d: str) -> DataFrame:
+    """Two in three held-out items hold their passage; the others are looked up, at the place of a document with their number."""
+    docs = table(s, d, "documents")
+    place = docs.select(F.col("doc_id").alias("item_id"), "source", "page")
+    items = table(s, d, "eval_items").withColumn("chunk_text", F.when(F.col("item_id") % 3 > 0, F.col("passage"))).join(place, "item_id", "left")
+    return grounding.checked_either(items, docs, "item_id").select("item_id", "passage_from", "answer_words", "matched_words")
+
+
 @query(f"""{_BY_PAGE}, j AS (SELECT round({_RAW}, 3) AS o, quality_score = 6 AS clean FROM found WHERE passage_found AND quality_score IS NOT NULL)
 SELECT count(*) AS judged, count_if(clean = (o >= 0.7)) AS agree, count_if(clean AND o < 0.5) AS clean_but_low, count_if(NOT clean AND o >= 0.7) AS flagged_but_high FROM j""")
 def judge_vs_mechanical(s: SparkSession, d: str) -> DataFrame:
@@ -446,6 +512,29 @@ def score_distribution(s: SparkSession, d: str) -> DataFrame:
     return statistics.score_distribution(_pairs(s, d, "quality_score"))
 
 
+@query(f"WITH {_PAIRS}, g AS (SELECT quality_score FROM pairs UNION ALL SELECT quality_score FROM rejected_pairs) SELECT quality_score, count(*) AS pairs FROM g WHERE quality_score IS NOT NULL GROUP BY 1")
+def graded_score_histogram(s: SparkSession, d: str) -> DataFrame:
+    both = _pairs(s, d, "quality_score").select("quality_score").unionByName(table(s, d, "rejected_pairs").select("quality_score"))
+    return statistics.score_distribution(both.filter("quality_score is not null"))
+
+
+@query(f"""WITH {_PAIRS}, k AS (SELECT chunk_key, bool_and(payload IS NULL OR NOT json_valid(payload)) AS failed FROM checkpoint_log GROUP BY 1), o AS (SELECT count(*) AS chunks, count_if(failed) AS failed_chunks, (SELECT count(*) FROM pairs) AS pairs FROM k)
+SELECT *, failed_chunks * 1000 // greatest(chunks, 1) AS failed_share, pairs * 100 // greatest(chunks, 1) AS pairs_a_chunk_1e2 FROM o""")
+def chunk_rates(s: SparkSession, d: str) -> DataFrame:
+    return statistics.per_chunk(table(s, d, "checkpoint_log"), checkpoints.broken(F.col("payload")), _pairs(s, d, "page"))
+
+
+@query(f"""WITH {_PAIRS} SELECT count(*) AS requested, count(*) AS generated, count_if({_CHECK} = 'passed') AS verified, (SELECT count_if(NOT coalesce(answerable, true)) FROM pairs) AS in_dataset, count_if({_CHECK} = 'failed') AS failed FROM unanswerable_pairs""")
+def abstention_block(s: SparkSession, d: str) -> DataFrame:
+    return statistics.abstention_block(table(s, d, "unanswerable_pairs"), _pairs(s, d, "answerable"))
+
+
+@query(f"""SELECT question, source, page, in_dataset, {_CHECK} AS outcome, CASE WHEN {_CHECK} = 'failed' THEN CASE WHEN NOT abstention_check.abstention_answer THEN 'answer is not the fixed abstention string'
+  WHEN NOT abstention_check.unanswerable THEN 'passage does answer the question' ELSE 'question is off-topic or implausible' END END AS note FROM unanswerable_pairs""")
+def abstention_table(s: SparkSession, d: str) -> DataFrame:
+    return explorer.abstention_table(table(s, d, "unanswerable_pairs"))
+
+
 @query("SELECT criterion, count(*) AS pairs, sum(score) AS score_sum, round(avg(score), 3) AS mean_score FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS criterion, scores.{k} AS score FROM rejected_pairs" for k in ("groundedness", "specificity", "completeness")) + ") WHERE score IS NOT NULL GROUP BY 1")
 def sub_scores(s: SparkSession, d: str) -> DataFrame:
     return statistics.sub_scores(table(s, d, "rejected_pairs"))
@@ -543,6 +632,35 @@ def cohen_kappa(s: SparkSession, d: str) -> DataFrame:
     return agreement.kappa(_rated(s, d), "a", "b")
 
 
+def _one_kappa(k: int) -> str:
+    """Kappa of two raters who say whether a document is of category k."""
+    return f"""SELECT {k} AS criterion, CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN round((avg((x = y)::INT) - (avg(x) * avg(y) + (1 - avg(x)) * (1 - avg(y)))) / (1 - (avg(x) * avg(y) + (1 - avg(x)) * (1 - avg(y)))), 6) END AS kappa
+  FROM (SELECT (a = {k})::INT AS x, (b = {k})::INT AS y FROM rated WHERE a IS NOT NULL AND b IS NOT NULL)"""
+
+
+@query(f"""WITH {_RATED}, k AS ({" UNION ALL ".join(map(_one_kappa, range(4)))})
+SELECT criterion, kappa, CASE WHEN kappa < 0 THEN 'none' WHEN kappa <= 0.2 THEN 'slight' WHEN kappa <= 0.4 THEN 'fair' WHEN kappa <= 0.6 THEN 'moderate' WHEN kappa <= 0.8 THEN 'substantial' ELSE 'almost perfect' END AS strength, kappa < 0.4 AS warn
+FROM k WHERE kappa IS NOT NULL ORDER BY kappa, criterion LIMIT 1""")
+def weakest_kappa(s: SparkSession, d: str) -> DataFrame:
+    """The category on which two raters agree least."""
+    rated = cut(_rated(s, d))
+    each = [agreement.kappa(rated.select((F.col("a") == k).cast("int").alias("a"), (F.col("b") == k).cast("int").alias("b")), "a", "b").withColumn("criterion", F.lit(k)) for k in range(4)]
+    return explorer.weakest_kappa(each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3]))
+
+
+@query(f"""WITH {_RATED}, v AS (SELECT a >= 2 AS x, b >= 2 AS y FROM rated WHERE a IS NOT NULL AND b IS NOT NULL) SELECT count(*) AS n, count_if(x = y) AS agree FROM v""")
+def keep_agreement(s: SparkSession, d: str) -> DataFrame:
+    """The keep rule on two raters' labels, read as a groundedness of 2 from label 2 on, with full marks elsewhere."""
+    score = lambda c: F.when(c.isNotNull(), F.struct(F.when(c >= 2, 2).otherwise(1).alias("groundedness"), F.lit(2).alias("specificity"), F.lit(2).alias("completeness")))
+    rated = _rated(s, d).filter("a is not null and b is not null")
+    return agreement.keep_agreement(rated.select(score(F.col("a")).alias("x"), score(F.col("b")).alias("y")), "x", "y").select("n", "agree")
+
+
+@query("""SELECT date_trunc('hour', appended_at) AS hour, fingerprint, count(*) AS calls FROM checkpoint_log WHERE appended_at IS NOT NULL GROUP BY 1, 2""")
+def hourly_calls(s: SparkSession, d: str) -> DataFrame:
+    return hourly_counts(table(s, d, "checkpoint_log").filter("appended_at is not null")).select(F.col("window.start").alias("hour"), "fingerprint", "calls")
+
+
 @query(f"WITH {_RATED} SELECT 'a' AS rater, count(DISTINCT a) AS labels, count(DISTINCT a) < 2 AS constant FROM rated UNION ALL SELECT 'b', count(DISTINCT b), count(DISTINCT b) < 2 FROM rated")
 def constant_raters(s: SparkSession, d: str) -> DataFrame:
     return agreement.constant_raters(_rated(s, d), ["a", "b"])

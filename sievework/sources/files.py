@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions.text import strip
-from sievework.operators.ingest import MIN_PAGE, file_name, pseudo_pages
+from sievework.operators.ingest import file_name, pseudo_pages
 from sievework.schemas import PAGE, SCORES
 
 #: What may be read, and what an upload may be.
@@ -89,16 +89,13 @@ def listing(files: DataFrame) -> DataFrame:
 
 def upload_status(files: DataFrame) -> DataFrame:
     """``source_file, status`` of uploads: saved, or why not. The first eight by name count."""
-    ranked = files.select("source_file", "suffix", "length", "content").orderBy("source_file").limit(MAX_UPLOADS + 1_000)
-    from pyspark.sql import Window
-
-    nth = F.row_number().over(Window.orderBy("source_file"))  # uploads are few
+    first = files.select("source_file").orderBy("source_file").limit(MAX_UPLOADS).agg(F.max("source_file").alias("_last"))
     text = strip(F.call_function("make_valid_utf8", F.col("content").cast("string")))
     status = (
-        F.when(nth > MAX_UPLOADS, "too many files").when(~F.col("suffix").isin(*TEXT_SUFFIXES, *PAGED_SUFFIXES), "unsupported type").when(F.col("length") > MAX_UPLOAD_MB * 1_000_000, "too large")
+        F.when(F.col("source_file") > F.col("_last"), "too many files").when(~F.col("suffix").isin(*TEXT_SUFFIXES, *PAGED_SUFFIXES), "unsupported type").when(F.col("length") > MAX_UPLOAD_MB * 1_000_000, "too large")
         .when(F.col("suffix").isin(*TEXT_SUFFIXES) & (F.length(text) == 0), "no readable text").otherwise("saved")
     )
-    return ranked.select("source_file", status.alias("status"))
+    return files.crossJoin(F.broadcast(first)).select("source_file", status.alias("status"))  # one row on the right
 
 
 def probe(pages: DataFrame, total_pages: DataFrame) -> DataFrame:
@@ -107,11 +104,6 @@ def probe(pages: DataFrame, total_pages: DataFrame) -> DataFrame:
     return total_pages.join(head, "source_file", "left").select("source_file", "pages", F.floor(F.coalesce(F.col("c") / F.col("n"), F.lit(0.0)) * F.col("pages")).cast("bigint").alias("chars"))
 
 
-def readable_pages(pages: DataFrame) -> DataFrame:
-    """Pages with enough text."""
-    return pages.filter(F.length(strip(F.coalesce("page_content", F.lit("")))) >= MIN_PAGE)
-
-
 def read_jsonl(spark: SparkSession, path: str, schema: str, policy: str = "skip") -> DataFrame:
     """JSON lines with a declared schema. Broken lines are skipped (``skip``) or fail the read (``fail``)."""
     return spark.read.schema(schema).option("mode", {"skip": "DROPMALFORMED", "fail": "FAILFAST"}[policy]).json(path)

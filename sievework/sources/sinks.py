@@ -14,6 +14,10 @@ from sievework.functions.text import strip
 from sievework.operators.statistics import assert_no_internals, chat_records, clean_records
 
 
+#: Rows of a table that the statistics hold.
+STATS_ROWS = 10_000
+
+
 def write_jsonl(df: DataFrame, path: str, order: list[Column] | None = None, single: bool = False) -> None:
     """JSON lines with nulls written out; ``single`` for one file, for small tables only."""
     rows = df.orderBy(*order) if order else df
@@ -45,6 +49,19 @@ def export_run(final: DataFrame, rejected: DataFrame, graded: DataFrame, duplica
     write_jsonl(unanswerable, f"{folder}/unanswerable_pairs.jsonl")
 
 
+def write_grounding(found: DataFrame, summary: DataFrame, folder: str) -> None:
+    """Grounding records and their summary, one JSON object."""
+    write_jsonl(found, f"{folder}/grounding_records.jsonl")
+    write_jsonl(summary, f"{folder}/grounding_summary.json", single=True)  # one row
+
+
+def write_stats(counted: DataFrame, folder: str, **more: DataFrame) -> None:
+    """All statistics of a run as one JSON object: the counts, and a list of objects for each further table."""
+    one = {**counted.first().asDict(), **{k: [r.asDict(recursive=True) for r in t.limit(STATS_ROWS).collect()] for k, t in more.items()}}
+    text = json.dumps(one, ensure_ascii=False, default=str)
+    counted.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/pipeline_stats.json")
+
+
 def file_facts(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``path, there, size, records``: records are lines that are not blank."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
