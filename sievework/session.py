@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows and bytes up to which a side is broadcast at all; beyond, callers shuffle.
-BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32_000_000
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 8_000_000
 #: Nodes of a plan that are worth writing before it is run twice.
 _WORK = re.compile(r"\b(?:Aggregate|Join|Sort|Window|Generate|Repartition\w*|Distinct|MapIn\w+|FlatMap\w+|Union)\b")
 
