@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,6 +59,8 @@ FILLERS = frozenset(
     "answer response reply text a q #value! #ref! #n/a #name? #null! #div/0! no_answer no-answer noanswer xxx xx x lorem ipsum".split()
 ) | {"no answer", "no response", "no reply", "no data", "no value", "not available", "not applicable", "to be done", "to be added", "to be defined", "to be determined", "to be confirmed", "answer here", "your answer here", "insert answer here", "see above", "keine antwort", "sans réponse", "sin respuesta", "kein text"}
 
+_FILLER_STARTS = {f.split()[0].strip(".,;") for f in FILLERS}
+
 #: Frequent words of languages, for telling them apart.
 COMMON = {
     "en": "the of and to in is that it for was on are as with by at be this have from or had not but what all were when we there can an your which their if do will each about how up out them then she many some so these would other into has more her two him see could no than been who its now find made may after under over until must where why does did before near every between only much should they while against whether takes",
@@ -103,6 +106,8 @@ def _is_filler(t: str) -> bool:
     if not any(c.isalnum() for c in t):
         return True
     if len(t) > 40:  # placeholder text, or one filler again and again
+        if t.split(None, 1)[0].lower().strip(".,;") not in _FILLER_STARTS:
+            return False
         words = t.lower().split()
         return words[:2] == ["lorem", "ipsum"] or 3 * len(each := dict.fromkeys(words)) <= len(words) and " ".join(each).strip(" .,;") in FILLERS
     core = t.strip(" \t\r\n()[]{}<>\"'“”‘’*_-–—.:;,=|").lower()
@@ -140,7 +145,7 @@ def _script(text: str) -> str:
 class _Tokens(dict):
     """What is known of a token, kept while there are not too many: kind (0 number, 1 word, 2 end of a
     sentence, 3 of a clause), lower-cased, random number, whether it looks like a name, its weights for
-    languages, the languages it is of alone, and its plain words."""
+    languages, the languages it is of alone, the number of its plain words, and itself."""
 
     def __missing__(self, token: str) -> tuple:
         if len(self) > 200_000:
@@ -152,7 +157,7 @@ class _Tokens(dict):
         weights = tuple(x for w in parts for x in _WEIGHT.get(w, ()))
         only = tuple(_ONLY[w] for w in parts if w in _ONLY)
         name = kind == 1 and c.isupper() and len(token) > 2 and token[1] not in "'’"
-        got = self[token] = (kind, low if kind else "#", xxhash.xxh64_intdigest(low if kind else "#"), name, weights, only, len(parts))
+        got = self[token] = (kind, low if kind else "#", xxhash.xxh64_intdigest(low if kind else "#"), name, weights, only, len(parts), token)
         return got
 
 
@@ -165,7 +170,7 @@ def _tokens(text: str) -> list[tuple]:
 
 def _language_scores(tokens: list[tuple], text: str) -> tuple[str, list[float], int]:
     scores, n = [0.0] * len(_LANGS), 0
-    for _, _, _, _, weights, _, parts in tokens:
+    for _, _, _, _, weights, _, parts, _ in tokens:
         n += parts
         for i, x in weights:
             scores[i] += x
@@ -231,24 +236,32 @@ def other_language(question: str | None, answer: str) -> bool:
     return _other_language(q, _tokens(q), answer, _tokens(answer), stopped(answer))[0]
 
 
-def read_tokens(tokens: list[tuple], shouted: bool, names: set[str], blank: bool = True) -> tuple[list[str], list[int], list[int], bool]:
+def read_tokens(tokens: list[tuple], shouted: bool, names: set[str], question: str = "", blank: bool = True) -> tuple[list[str], list[int], list[int], bool, bool]:
     """Words of a text for comparison, the number of words up to the end of each sentence and of each
-    clause, and whether the last sentence has an end.
+    clause, whether the last sentence has an end, and whether a number or name is not in the question.
 
-    Numbers become #; names of the prompt, and words with a capital within a sentence, become @
-    (the latter only if ``blank``); all others are lower-cased.
+    Numbers become #; names of the question, and words with a capital within a sentence, become @
+    (the latter only if ``blank``, and only then can be told whether they are new); all others are lower-cased.
     """
     out: list[str] = []
     ends: list[int] = []
     clauses: list[int] = []
-    first, at, last = True, 0, 0
-    for kind, low, _, name, _, _, _ in tokens:
+    first, new, at, last = True, False, 0, 0
+    blank = blank and not shouted
+    for kind, low, _, name, _, _, _, token in tokens:
         if kind == 1:
-            out.append("@" if low in names or name and blank and not first and not shouted else low)
+            if low in names:
+                out.append("@")
+            elif name and blank and not first:
+                out.append("@")
+                new = new or token not in question
+            else:
+                out.append(low)
             first = False
         elif kind == 0:
             out.append("#")
             first = False
+            new = new or token not in question
         else:
             size = len(out)
             if size > at:
@@ -265,7 +278,7 @@ def read_tokens(tokens: list[tuple], shouted: bool, names: set[str], blank: bool
         clauses.append(size)
     if size > last:
         ends.append(size)
-    return out, ends, clauses, whole
+    return out, ends, clauses, whole, new
 
 
 def stopped(answer: str) -> int:
@@ -346,8 +359,8 @@ class _Counts:
     def __init__(self) -> None:
         self.hashes: list[np.ndarray] = []  # keys of words and what came after each
         self.slots: list[np.ndarray] = []
-        self.words: dict[str, int] = {}
-        self.clauses: dict[str, list[int]] = {}  # text: uses, and those in answers that bring nothing
+        self.words: Counter[str] = Counter()
+        self.clauses: dict[str, list[int]] = {}  # text: number, uses, and those in answers that bring nothing
         self.prints: list[np.ndarray] = []
         self.size = 0
 
@@ -361,8 +374,8 @@ class _Counts:
         if self.words:
             yield _batch(kind=pa.array(np.full(len(self.words), 2, np.int8)), word=list(self.words), stops=list(self.words.values()))
         if self.clauses:
-            n, asides = zip(*self.clauses.values())
-            yield _batch(kind=pa.array(np.full(len(n), 3, np.int8)), word=list(self.clauses), key=[_number(c) for c in self.clauses], stops=n, halts=asides)
+            numbers, n, asides = zip(*self.clauses.values())
+            yield _batch(kind=pa.array(np.full(len(n), 3, np.int8)), word=list(self.clauses), key=numbers, stops=n, halts=asides)
         if self.prints:
             every = np.concatenate(self.prints).astype(np.int64) + (np.arange(PRINTS) << 16)
             value, n = np.unique(every, return_counts=True)
@@ -375,20 +388,39 @@ def _number(clause: str) -> int:
     return n - (1 << 64) if n >> 63 else n
 
 
+class _Codes(dict):
+    """Random numbers of the words that read_tokens() gives, kept while there are not too many."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        n = self[word] = xxhash.xxh64_intdigest(word)
+        return n
+
+
+def _copies(q: str, asked: list[tuple], t: str) -> bool:
+    """is_copy(), tried only where the question's last word turns up in the answer."""
+    if 4 * len(t) < 3 * len(q):
+        return False
+    last = next((x[1] for x in reversed(asked) if x[0] < 2), "")
+    return (not last.isalpha() or last in t.lower()) and is_copy(q, t)
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: a pair with what can be said of it alone (stops: words of its answer). Other kinds: see _Counts."""
-    counts, known = _Counts(), _KNOWN
-    name_code = xxhash.xxh64_intdigest("@")
+    counts, known, code_of = _Counts(), _KNOWN, _Codes()
+    name_code = code_of["@"]
     german = _LANGS.index("de")
     for batch in steps(batches, 2, STEP_BYTES):
         ids, questions, answers, able = (batch.column(i).to_pylist() for i in range(4))
         flags, clauses, asides, last_words, lengths, asked_at = [], [], [], [], [], []
-        h: list[int] = []
-        pos: list[int] = []
-        slot: list[int] = []
-        opens: list[bool] = []
+        said_all: list[str] = []
+        sentence: list[int] = []  # words of each sentence
+        opening: list[bool] = []  # whether it is its answer's first
+        stop: list[int] = []  # 0 if it ends with a stop, 1 if it just ends
         codes: list[int] = []
         sizes: list[int] = []
+        seen_clauses = counts.clauses
         for row, (q, a) in enumerate(zip(questions, answers)):
             flag, own, aside, word, length = -1, None, False, None, None
             q = q or ""
@@ -400,7 +432,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(codes) - before)
             if _is_filler(t):
                 flag = 0
-            elif is_copy(q, t):
+            elif _copies(q, asked, t):
                 flag = 1
             else:
                 said = [known[x] for x in _TOKEN.findall(t)]
@@ -410,58 +442,61 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     flag = 2
             if flag < 0:
                 shouted = t.isupper()
-                tokens, ends, cuts, whole = read_tokens(said, shouted, names)
+                tokens, ends, cuts, whole, new = read_tokens(said, shouted, names, q)
                 if tokens:
-                    aside = len(tokens) >= SENTENCE and not brings(q, t, language == german)
+                    parts = tokens
+                    if language == german:  # names can't be told there
+                        parts, _, _, _, new = read_tokens(said, shouted, names, q, False)
+                    aside = not new and len(tokens) >= SENTENCE
                     stops = aside and end == 1
-                    parts = tokens if language != german else read_tokens(said, shouted, names, False)[0]
                     own, low = [], 0
                     for c in cuts:
                         clause = " ".join(parts[low:c])
-                        seen = counts.clauses.get(clause)
+                        seen = seen_clauses.get(clause)
                         if seen is None:
-                            seen = counts.clauses[clause] = [0, 0]
-                        seen[0] += 1
-                        seen[1] += stops
-                        own.append(clause)
+                            seen = seen_clauses[clause] = [_number(clause), 0, 0]
+                        seen[1] += 1
+                        seen[2] += stops
+                        own.append(seen[0])
                         low = c
                     lead = _lead(said)
                     if lead:
-                        tokens, ends, cuts, whole = read_tokens(said[lead:], shouted, names)
+                        tokens, ends, cuts, whole, _ = read_tokens(said[lead:], shouted, names)
                 if tokens:
-                    h += [known[w][2] if w not in "@#" else name_code if w == "@" else known["0"][2] for w in tokens]
+                    said_all += tokens
                     low = 0
                     for e in ends:
-                        pos += range(e - low)
-                        slot += [2] * (e - low - 1)
-                        slot.append(0)
-                        opens += [not low] * (e - low)
+                        sentence.append(e - low)
+                        opening.append(not low)
+                        stop.append(0)
                         low = e
                     if not whole:
-                        slot[-1] = 1
-                    seen = counts.words
-                    for w in tokens:
-                        seen[w] = seen.get(w, 0) + 1
+                        stop[-1] = 1
                 if end == -1:
                     flag = 4
                 elif end == 0 and tokens:
                     word, length = tokens[-1], len(tokens)
-                    asked_at.append((row, len(h) - 1))
+                    asked_at.append((row, len(said_all) - 1))
             flags.append(flag)
-            clauses.append(own and [_number(c) for c in own])
+            clauses.append(own)
             last_words.append(word)
             lengths.append(length)
             asides.append(aside)
         keys: list[list[int] | None] = [None] * len(ids)
-        if h:
-            p, s = np.array(pos, np.int64), np.array(slot, np.int64)
-            kinds = _keys(np.array(h, np.uint64), p, np.array(opens, bool), name_code)
+        if said_all:
+            n = np.array(sentence, np.int64)
+            after = np.cumsum(n)
+            p = np.arange(len(said_all)) - np.repeat(after - n, n)
+            s = np.full(len(said_all), 2, np.int8)
+            s[after - 1] = stop
+            kinds = _keys(np.fromiter(map(code_of.__getitem__, said_all), np.uint64, len(said_all)), p, np.repeat(np.array(opening, bool), n), name_code)
             ago = [np.where(p > 0, np.r_[np.zeros(1, np.uint64), k[:-1]], np.uint64(0)) for k in kinds]
             for row, i in asked_at:  # what is said up to the last word, and up to the one before
                 keys[row] = np.array([*(k[i] for k in kinds), *(k[i] for k in ago)], np.uint64).view(np.int64).tolist()
             counts.hashes += [k[k != 0] for k in kinds]
             counts.slots += [s[k != 0] for k in kinds]
-            counts.size += len(h)
+            counts.words.update(said_all)
+            counts.size += len(said_all)
         n = np.array(sizes, np.int64)
         made = prompt_prints(np.array(codes, np.uint64), n[n > 0])
         counts.prints.append(made)
@@ -473,15 +508,6 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from counts.send()
 
 
-_NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
-_NAME = re.compile(r"(?<=[^\s.!?]\s)[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][^\W\d_A-Z]\w*")
-
-
-def brings(question: str, answer: str, german: bool = False) -> bool:
-    """Whether an answer brings a number or name that its question lacks; names can't be told in German."""
-    return any(m not in question for m in _NUMBER.findall(answer)) or not german and any(m not in question for m in _NAME.findall(answer))
-
-
 def _clusters(clauses: DataFrame) -> DataFrame:
     """``key, cluster``: verified MinHash clusters of distinct clauses ``key, word``, named by their least key.
 
