@@ -176,6 +176,24 @@ def _candidates(divisor: int, ratio: tuple[int, int], hot_word: int = HOT_WORD):
     return run
 
 
+def _noted(width: int):
+    """Id and class of every record, and how often words fall to each of ``width`` counters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(width, np.int64)
+        names = ["id", "k1", "k2", "x", "n"]
+        for batch in steps(batches, 3, STEP_WORDS):
+            values, _ = _lists(batch.column(3))
+            counter, n = np.unique(values & np.uint64(width - 1), return_counts=True)
+            counts[counter.astype(np.int64)] += n
+            yield pa.record_batch([*batch.columns[:3], pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.int64())], names)
+        at = np.flatnonzero(counts)
+        none = [pa.nulls(len(at), pa.int64())] * 3
+        yield pa.record_batch([*none, pa.array(at.astype(np.int32)), pa.array(counts[at])], names)
+
+    return run
+
+
 def _divided(blocks: DataFrame, hot_word: int) -> DataFrame:
     """Rows of hot blocks, each in the cells of a triangle that its part of the block belongs to."""
     blocks = cut(blocks.distinct())
@@ -210,11 +228,11 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column
     keyed = hashed.select("id", F.xxhash64("w", "nums").alias("k1"), F.xxhash64(F.lit(7), F.col("nums"), F.col("w")).alias("k2"), "w")
 
     width = min(MOST_SKETCH, max(SKETCH, 1 << (rows.count() // 64).bit_length()))
-    bucket = F.explode(F.transform(words(F.col("t")), lambda w: F.pmod(F.xxhash64(w), F.lit(width)).cast("int"))).alias("x")
-    counted = rows.select(bucket).groupBy("x").count().toPandas()  # at most ``width`` rows
+    # one pass gives the members of classes and the counts of words
+    noted = cut(keyed.mapInArrow(_noted(width), "id bigint, k1 bigint, k2 bigint, x int, n bigint"))
+    counted = noted.filter("x is not null").groupBy("x").agg(F.sum("n").alias("n")).toPandas()  # at most ``width`` rows
     counts = np.zeros(width, np.int64)
-    counts[counted["x"].to_numpy()] = counted["count"].to_numpy()
-    # a hash is unsigned here and signed in pmod; both give the same rest as the width is a power of two
+    counts[counted["x"].to_numpy()] = counted["n"].to_numpy()
     sent = spark.sparkContext.broadcast(counts)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +248,7 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, numbers_in: Column
         more = cut(_divided(hot, hot_word).repartition("word").sortWithinPartitions("word").mapInArrow(search, _FOUND))
         pairs, hot = pairs.unionByName(more.filter("a1 is not null").select("a1", "b1")), more.filter("a1 is null").select("word", "k1", "code", "size", "lead")
     found = cut(pairs.distinct())
-    members = cut(keyed.select("k1", "k2", "id").distinct())
+    members = cut(noted.filter("x is null").select("k1", "k2", "id").distinct())
 
     ends = found.select(F.col("a1").alias("k1")).unionByName(found.select(F.col("b1").alias("k1"))).distinct()
     picked = cut(members.join(broadcast_if_small(cut(ends)), "k1", "left_semi").groupBy("k1", "k2").agg(F.min("id").alias("id")))
