@@ -4,10 +4,13 @@ Row i stays unless an earlier row that stays is at least ``threshold`` similar a
 This is the lexicographically first maximal independent set of the similarity graph; it is found
 in rounds over the edges (Blelloch, Fineman and Shun, SPAA 2012), not by a scan.
 
-The edges are exact. Rows are homed at the nearest of some pivots and also sent to every pivot
-p with angle(x, p) <= angle(x, home) + 2 * angle(threshold); by the triangle inequality both
-rows of a similar pair meet at the home of either. A pivot's rows are compared in chunks by
-matrix products; no task holds more than a chunk of homed rows and a batch of others.
+Rows with equal vectors and equal numbers are compared once, as their first; the others always go,
+and have one edge, to the first. The edges are exact. Rows are homed at the nearest of some pivots
+and also sent to every pivot p with angle(x, p) <= angle(x, home) + 2 * angle(threshold); by the
+triangle inequality both rows of a similar pair meet at the home of either. Cells with many rows get
+pivots of their own, and so on, so that the size of a cell doesn't grow with the table. A cell's rows
+are compared in chunks by matrix products; no task holds more than a chunk of homed rows and a batch
+of others.
 """
 
 from __future__ import annotations
@@ -23,10 +26,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import number_set, opener
-from sievework.session import broadcast_if_small, cut
+from sievework.session import broadcast_if_small, cut, skew_join
 
-#: Rows homed at a pivot, on average; pivots at most; rows of a chunk.
-PIVOT_ROWS, MAX_PIVOTS, CHUNK = 20_000, 1024, 4096
+#: Rows homed in a cell, about; pivots of a cell that is divided; levels at most; rows of a chunk, and of a task that divides.
+PIVOT_ROWS, PIVOTS, LEVELS, CHUNK, PART = 20_000, 128, 8, 4096, 100_000
+#: Nodes up to which resolve() broadcasts them, 8 bytes each.
+NODES = 500_000
+#: Share of pivots that rows are sent to beyond which dividing costs more than it saves.
+MOST_SPREAD = 0.25
 
 
 def dedup_text(question: Column, answer: Column, question_only: bool = False) -> Column:
@@ -77,35 +84,109 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
+_PLACED = "cell bigint, home boolean, o bigint, v array<float>, n array<string>"
+
+
+def _runs(batch: pa.RecordBatch, columns: int) -> list[tuple[int, int]]:
+    """Bounds of runs of rows that are equal in the first columns."""
+    n = batch.num_rows
+    new = np.zeros(max(n - 1, 0), bool)
+    for k in range(columns):
+        c = batch.column(k).to_numpy()
+        new |= c[1:] != c[:-1]
+    edges = [0, *(np.flatnonzero(new) + 1).tolist(), n]
+    return [(low, high) for low, high in zip(edges, edges[1:]) if high > low]
+
+
+def _divide(placed: DataFrame, big: DataFrame, reach: float, level: int, seed: int) -> DataFrame:
+    """The rows of ``big`` cells (cell, number homed, parts) among pivots of these cells."""
+    wide = skew_join(placed, big, ["cell"])
+    lot = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.col("o")), F.lit(1 << 30))
+    drawn = wide.filter(F.col("home") & (lot < F.lit(4 * PIVOTS * float(1 << 30)) / F.col("homed")))
+    pivots = drawn.groupBy("cell", "parts").agg(F.slice(F.sort_array(F.collect_list(F.struct(lot.alias("lot"), "o", "v"))), 1, PIVOTS).alias("p"))  # about 4 * PIVOTS rows a cell
+    first = pivots.select("cell", "parts", F.inline("p")).select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "o", "v")
+    first = first.select("cell", "part", F.lit(0).alias("side"), F.lit(True).alias("home"), "o", "v", F.lit(None).cast("array<string>").alias("n"))
+    part = F.pmod(F.xxhash64("o"), F.col("parts")).cast("int")
+    both = first.unionByName(wide.select("cell", part.alias("part"), F.lit(1).alias("side"), "home", "o", "v", "n"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            for low, high in _runs(batch, 3):
+                rows = batch.slice(low, high - low)
+                cell, part, side = (rows.column(k)[0].as_py() for k in range(3))
+                if (cell, part) != key:
+                    key, held = (cell, part), []
+                if side == 0:
+                    held.append(_matrix(rows.column(5)))
+                    continue
+                at = np.concatenate(held)
+                angle = np.arccos(np.clip(_matrix(rows.column(5)) @ at.T, -1, 1))
+                nearest = angle.argmin(1)
+                row, pivot = np.nonzero(angle <= angle.min(1)[:, None] + reach + 1e-9)
+                taken = rows.take(pa.array(row))
+                home = taken.column(3).to_numpy(zero_copy_only=False) & (nearest[row] == pivot)
+                own = np.int64(cell) * PIVOTS + pivot.astype(np.int64) + 1
+                yield pa.record_batch([pa.array(own), pa.array(home), taken.column(4), taken.column(5), taken.column(6)], ["cell", "home", "o", "v", "n"])
+
+    arranged = both.repartition("cell", "part").sortWithinPartitions("cell", "part", "side")
+    return arranged.mapInArrow(place, _PLACED)
+
+
+def _spread(rows: DataFrame, reach: float, seed: int) -> float:
+    """The share of pivots that a row is sent to, on average, from PIVOTS pivots and 512 rows drawn by hash."""
+    drawn = [r.v for r in rows.orderBy(F.xxhash64(F.lit(seed), F.col("o")), "o").limit(PIVOTS + 512).select("v").collect()]
+    if len(drawn) <= PIVOTS:
+        return 0.0
+    v = np.array(drawn, np.float64)
+    angle = np.arccos(np.clip(v[PIVOTS:] @ v[:PIVOTS].T, -1, 1))
+    return float((angle <= angle.min(1)[:, None] + reach).mean())
+
+
+def _cells(rows: DataFrame, reach: float, seed: int) -> DataFrame:
+    """Rows in their cells, home or sent. Cells with more than twice PIVOT_ROWS homed rows are divided anew
+    as long as that parts them; each numbers its own by PIVOTS times its number."""
+    if _spread(rows, reach, seed) > MOST_SPREAD:  # pivots would part nothing; the one cell is compared in chunks
+        return rows.select(F.lit(0).cast("bigint").alias("cell"), F.lit(True).alias("home"), "o", "v", "n")
+    done, open_ = None, rows.select(F.lit(0).cast("bigint").alias("cell"), F.lit(True).alias("home"), "o", "v", "n")
+    for level in range(LEVELS):
+        sizes = cut(open_.groupBy("cell").agg(F.count_if("home").alias("n"), F.count("*").alias("all")))
+        big = cut(sizes.filter(F.col("n") > 2 * PIVOT_ROWS).select("cell", "n", F.ceil(F.col("all") / PART).cast("int").alias("parts")).withColumnRenamed("n", "homed"))
+        if big.isEmpty():
+            break
+        few = broadcast_if_small(big.select("cell"))
+        small = open_.join(few, "cell", "left_anti")
+        done = small if done is None else done.unionByName(small)
+        open_ = cut(_divide(open_, big, reach, level, seed))
+    return open_ if done is None else done.unionByName(open_)
+
+
 def similarity_edges(vectors: DataFrame, threshold: float, ord_col: str = "ord", vector: str = "vector", number_col: str | None = None, seed: int = 42) -> DataFrame:
-    """``i, j, similarity`` with j < i, for all pairs of unit vectors at least ``threshold`` similar.
+    """``i, j, similarity, copy`` with j < i, for all pairs of unit vectors at least ``threshold`` similar.
 
-    Pairs that the number veto parts are left out, if ``number_col`` names arrays of numbers.
-    ``ord_col`` must be unique. Null vectors are left out.
+    Of rows with equal vectors and numbers only the first takes part; each other has one edge, to
+    the first, marked as ``copy``. Pairs that the number veto parts are left out, if ``number_col``
+    names arrays of numbers. ``ord_col`` must be unique. Null vectors are left out.
     """
     nums = F.col(number_col) if number_col else F.array().cast("array<string>")
-    rows = cut(vectors.select(F.col(ord_col).cast("bigint").alias("o"), F.col(vector).cast("array<float>").alias("v"), nums.alias("n")).filter("v is not null"))
-    total = rows.count()
-    n_pivots = max(1, min(MAX_PIVOTS, total // PIVOT_ROWS))
-    pivots = np.array([r.v for r in rows.orderBy(F.xxhash64(F.lit(seed), F.col("o"))).limit(n_pivots).collect()], np.float64) if total else np.zeros((1, 1))
-    sent = rows.sparkSession.sparkContext.broadcast(pivots)
+    every = cut(vectors.select(F.col(ord_col).cast("bigint").alias("o"), F.col(vector).cast("array<float>").alias("v"), nums.alias("n")).filter("v is not null"))
+    own = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    keyed = every.filter(own >= threshold).select("o", F.xxhash64("v", "n").alias("k1"), F.xxhash64(F.lit(7), F.col("n"), F.col("v")).alias("k2"), own.alias("own"))
+    several = cut(keyed.groupBy("k1", "k2").agg(F.min("o").alias("first"), F.count("*").alias("times")).filter("times > 1").select("k1", "k2", "first"))
+    rows, copies = every, None
+    if not several.isEmpty():
+        copies = cut(skew_join(keyed, several, ["k1", "k2"]).filter("o <> first").select(F.col("o").alias("i"), F.col("first").alias("j"), F.col("own").alias("similarity"), F.lit(True).alias("copy")))
+        rows = cut(every.join(broadcast_if_small(copies.select(F.col("i").alias("o"))), "o", "left_anti"))
     reach = 2 * math.acos(max(-1.0, min(1.0, threshold)))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            angle = np.arccos(np.clip(_matrix(batch.column(1)) @ sent.value.T, -1, 1))
-            home = angle.argmin(1)
-            row, pivot = np.nonzero(angle <= angle.min(1)[:, None] + reach + 1e-9)
-            taken = batch.take(pa.array(row))
-            yield pa.record_batch([pa.array(pivot.astype(np.int32)), pa.array(home[row] == pivot), *taken.columns], ["pivot", "home", "o", "v", "n"])
-
-    placed = rows.mapInArrow(place, "pivot int, home boolean, o bigint, v array<float>, n array<string>") if n_pivots > 1 else rows.select(F.lit(0).alias("pivot"), F.lit(True).alias("home"), "o", "v", "n")
-    placed = cut(placed)
-    sizes = placed.filter("home").groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    homed = placed.filter("home").join(F.broadcast(sizes), "pivot").withColumn("chunk", F.pmod(F.xxhash64("o"), F.col("chunks")).cast("int"))  # one row a pivot
-    spread = placed.join(F.broadcast(sizes), "pivot").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    n = rows.count()
+    if n <= 2 * PIVOT_ROWS:  # one cell
+        placed = sized = rows.select(F.lit(0).cast("bigint").alias("pivot"), F.lit(True).alias("home"), "o", "v", "n", F.lit(max(1, -(-n // CHUNK))).alias("chunks"))
+    else:
+        placed = cut(_cells(rows, reach, seed)).withColumnRenamed("cell", "pivot")
+        sizes = cut(placed.filter("home").groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")))
+        sized = skew_join(placed, sizes, ["pivot"])
+    homed = sized.filter("home").withColumn("chunk", F.pmod(F.xxhash64("o"), F.col("chunks")).cast("int"))
+    spread = sized.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     both = homed.select("pivot", "chunk", F.lit(0).alias("side"), "o", "v", "n").unionByName(spread.select("pivot", "chunk", F.lit(1).alias("side"), "o", "v", "n"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,11 +195,8 @@ def similarity_edges(vectors: DataFrame, threshold: float, ord_col: str = "ord",
         block: tuple | None = None
         for batch in batches:
             p, c, s = (batch.column(k).to_numpy() for k in range(3))
-            edges = [0, *(np.flatnonzero((p[1:] != p[:-1]) | (c[1:] != c[:-1]) | (s[1:] != s[:-1])) + 1).tolist(), len(p)]
-            for low, high in zip(edges, edges[1:]):
+            for low, high in _runs(batch, 3):
                 part = batch.slice(low, high - low)
-                if not part.num_rows:
-                    continue
                 o, v, n = part.column(3).to_numpy(), _matrix(part.column(4)), part.column(5).to_pylist()
                 if key != (p[low], c[low]):
                     key, held, block = (p[low], c[low]), [], None
@@ -138,25 +216,28 @@ def similarity_edges(vectors: DataFrame, threshold: float, ord_col: str = "ord",
                 yield pa.record_batch([pa.array(bo[x]), pa.array(o[y]), pa.array(sim[x, y])], ["i", "j", "similarity"])
 
     arranged = both.repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "side")
-    return arranged.mapInArrow(compare, "i bigint, j bigint, similarity double").groupBy("i", "j").agg(F.max("similarity").alias("similarity"))
+    found = arranged.mapInArrow(compare, "i bigint, j bigint, similarity double").groupBy("i", "j").agg(F.max("similarity").alias("similarity"))
+    found = found.withColumn("copy", F.lit(False))
+    return found if copies is None else found.unionByName(copies)
 
 
 def resolve(edges: DataFrame) -> DataFrame:
-    """``i`` of the rows that go, out of edges i, j with j < i. A row without edges stays.
+    """``i`` of the rows that go, out of edges i, j with j < i. A row without edges stays, a copy goes.
 
     Each round, rows with an earlier neighbour that stays go, and rows whose earlier
     neighbours have all gone stay; the rest waits.
     """
-    left = cut(edges.select("i", "j").distinct())
+    gone = cut(edges.filter("copy").select("i")) if "copy" in edges.columns else None
+    left = cut((edges if gone is None else edges.filter("not copy")).select("i", "j").distinct())
     nodes = cut(left.select("i").distinct())
-    gone = None
     kept = cut(left.select(F.col("j").alias("k")).distinct().join(nodes, F.col("k") == F.col("i"), "left_anti"))
-    while not kept.isEmpty():
-        out = cut(left.join(broadcast_if_small(kept.withColumnRenamed("k", "j")), "j", "left_semi").select("i").distinct())
+    few = lambda df, n: F.broadcast(df) if n <= NODES else df  # noqa: E731 - 8 bytes a row
+    while n_kept := kept.count():
+        out = cut(left.join(few(kept.withColumnRenamed("k", "j"), n_kept), "j", "left_semi").select("i").distinct())
         gone = out if gone is None else gone.unionByName(out)
-        marked = broadcast_if_small(out)
-        rest = left.join(marked, "i", "left_anti")
-        waiting = cut(rest.join(broadcast_if_small(out.withColumnRenamed("i", "j")), "j", "left_anti"))
+        n_out = out.count()
+        rest = left.join(few(out, n_out), "i", "left_anti")
+        waiting = cut(rest.join(few(out.withColumnRenamed("i", "j"), n_out), "j", "left_anti"))
         # rows that lost their last earlier neighbour stay
         kept = cut(rest.select("i").distinct().join(waiting.select("i").distinct(), "i", "left_anti").select(F.col("i").alias("k")))
         left = waiting
@@ -164,12 +245,33 @@ def resolve(edges: DataFrame) -> DataFrame:
 
 
 def matches(edges: DataFrame, gone: DataFrame) -> DataFrame:
-    """``i, duplicate_of, similarity``: for every row that goes the most similar row that stays, ties to the earliest."""
-    inside = edges.join(broadcast_if_small(gone), "i", "left_semi").join(broadcast_if_small(gone.select(F.col("i").alias("j"))), "j", "left_anti")
+    """``i, duplicate_of, similarity``: for every row that goes the most similar row that stays, ties to the earliest.
+
+    A copy has the neighbours of its first, as far as they are earlier than itself.
+    """
+    all_ = edges.select("i", "j", "similarity")
+    if "copy" in edges.columns:
+        copies = cut(edges.filter("copy").select("i", F.col("j").alias("first")))
+        if not copies.isEmpty():
+            plain = edges.filter("not copy")
+            beside = plain.select(F.col("i").alias("first"), "j", "similarity").unionByName(plain.select(F.col("j").alias("first"), F.col("i").alias("j"), "similarity"))
+            all_ = all_.unionByName(skew_join(copies, cut(beside), ["first"]).filter("j < i").select("i", "j", "similarity"))
+    inside = all_.join(broadcast_if_small(gone), "i", "left_semi").join(broadcast_if_small(gone.select(F.col("i").alias("j"))), "j", "left_anti")
     best = F.max(F.struct("similarity", -F.col("j"))).alias("m")
     return inside.groupBy("i").agg(best).select("i", (-F.col("m.col2")).alias("duplicate_of"), F.col("m.similarity").alias("similarity"))
 
 
+def edges_within(edges: DataFrame, kept: DataFrame) -> DataFrame:
+    """The edges that similarity_edges() would give for the rows ``i`` of ``kept`` alone."""
+    copies = edges.filter("copy").select("i", F.col("j").alias("class"))
+    named = cut(kept.join(broadcast_if_small(cut(copies)), "i", "left").withColumn("class", F.coalesce("class", "i")))
+    first = cut(named.groupBy("class").agg(F.min("i").alias("first")))
+    again = named.join(broadcast_if_small(first), "class").filter("i <> first").select("i", F.col("first").alias("j"), F.lit(1.0).alias("similarity"), F.lit(True).alias("copy"))
+    x, y = (broadcast_if_small(first.select(F.col("class").alias(c), F.col("first").alias(f"f{c}"))) for c in "ij")
+    own = edges.filter("not copy").join(x, "i").join(y, "j").select(F.greatest("fi", "fj").alias("i"), F.least("fi", "fj").alias("j"), "similarity", "copy")
+    return own.unionByName(again)
+
+
 def lexical_overlap(a: Column, b: Column) -> Column:
     """The ratio of Python's SequenceMatcher on lower-cased texts, 4 places; for the few removed rows."""
 

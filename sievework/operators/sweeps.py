@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from sievework.functions.rules import FLOORS, keep_expr, total_score
 from sievework.functions.text import opener
-from sievework.operators.dedup import matches, resolve, similarity_edges
-from sievework.session import broadcast_if_small, cut
+from sievework.operators.dedup import edges_within, matches, resolve, similarity_edges
+from sievework.session import cut
 
 MIN_SCORES = (3, 4, 5, 6)
 THRESHOLDS = (0.75, 0.85, 0.90, 0.95)
@@ -33,9 +33,7 @@ def swept_dedup(graded: DataFrame, ord_col: str, vector: str, min_scores: tuple[
     for m in min_scores:
         for on in (True, False):
             kept = cut(graded.filter(keep_expr(F.col("scores"), m, FLOORS if on else {})).select(F.col(ord_col).alias("i")))
-            few = broadcast_if_small(kept)
-            inside = edges.join(few, "i", "left_semi").join(few.select(F.col("i").alias("j")), "j", "left_semi")
-            gone = resolve(inside)
+            gone = resolve(edges_within(edges, kept))
             row = kept.agg(F.count("*").alias("passed")).crossJoin(gone.agg(F.count("*").alias("duplicates")))  # one row each
             row = row.select(F.lit(m).alias("min_score"), F.lit(on).alias("floors"), "passed", "duplicates", (F.col("passed") - F.col("duplicates")).alias("after_dedup"))
             out = row if out is None else out.unionByName(row)

@@ -168,6 +168,32 @@ def test_greedy_dedup(spark, monkeypatch, t, guarded, pivots):
     assert {x.i: x.duplicate_of for x in dedup.matches(edges, gone).collect()} == match
 
 
+@pytest.mark.parametrize("guarded", [False, True])
+def test_equal_vectors_are_compared_once(spark, guarded):
+    """Copies go, whatever becomes of their first, and resemble the nearest that stays."""
+    r = np.random.default_rng(4)
+    base = r.normal(size=(6, 8))
+    base[3] = base[1] + 0.3 * r.normal(size=8)
+    base[4] = base[3] + 0.3 * r.normal(size=8)
+    v = base[r.integers(0, 6, 120)]
+    v = (v / np.linalg.norm(v, axis=1)[:, None]).astype(np.float32).astype(np.float64)
+    numbers = [r.choice(["", "1", "2"]) for _ in range(120)]
+    df = spark.createDataFrame([(i, v[i].tolist(), [numbers[i]] if numbers[i] else []) for i in range(120)] + [(500 + i, [0.0] * 8, []) for i in range(5)], "ord bigint, vector array<float>, nums array<string>")
+    edges = dedup.similarity_edges(df, 0.9, number_col="nums" if guarded else None)
+    gone = dedup.resolve(edges)
+    kept, match = greedy(v, 0.9, numbers if guarded else None)
+    assert {x.i for x in gone.collect()} == set(match)
+    got = {x.i: x.duplicate_of for x in dedup.matches(edges, gone).collect()}
+    assert got.keys() == match.keys() and all(abs(v[i] @ v[got[i]] - v[i] @ v[match[i]]) < 1e-6 for i in match)
+    assert edges.filter("not copy").count() < 60
+
+
+def test_very_many_equal_vectors(spark):
+    df = spark.range(50_000).select(F.col("id").alias("ord"), F.when(F.col("id") % 2 == 0, F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(0.0), F.lit(1.0))).cast("array<float>").alias("vector"))
+    edges = dedup.similarity_edges(df, 0.9)
+    assert edges.count() == 49_998 and dedup.resolve(edges).count() == 49_998
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_resolve_on_random_graphs(spark, seed):
     r = random.Random(seed)
