@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.radix import cutoffs, group_bounds, within
-from sievework.session import broadcast_if_small, cut
+from sievework.session import cut, skew_join
 
 _LAST = 1 << 40  # after every negated INT
 
@@ -46,7 +46,6 @@ def cap_contributors(
     if allowed < 1:
         dropped = rows.filter("who is not null").select("id", "who")
     else:
-        limits = broadcast_if_small(cut(cutoffs(keyed, over, "who", "hi", "lo")))
-        dropped = keyed.join(limits, "who").filter(~within("hi", "lo")).select(F.col("lo").alias("id"), "who")
+        dropped = skew_join(keyed, cut(cutoffs(keyed, over, "who", "hi", "lo")), ["who"]).filter(~within("hi", "lo")).select(F.col("lo").alias("id"), "who")
     kept = F.when(F.col("who").isNull(), F.col("n")).otherwise(F.least("n", "take"))
     return Capped(dropped, groups.select(F.col("who").alias("contributor"), "n", kept.alias("kept")), allowed)

@@ -13,12 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import words
 from sievework.llm.batches import steps
-from sievework.session import cut, skew_join
+from sievework.session import broadcast_if_small, cut, skew_join
 
 #: Words of held-out fields up to which these are sent to every executor (8 bytes a word and fingerprint).
 BROADCAST_WORDS = 2_000_000
@@ -98,28 +98,41 @@ def _hashed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _against_few(docs: DataFrame, fields: list[tuple[int, str, np.ndarray]], span: int, k: int) -> DataFrame:
-    """Hits against fields that fit into every executor; corpus fingerprints are never shuffled."""
+    """Hits against fields that fit into every executor; corpus fingerprints are never shuffled.
+
+    What is sent is arrays: fingerprints, their places, and the words of all fields.
+    """
     window = span - k + 1
-    prints = [(fp, i, at) for i, (_, _, h) in enumerate(fields) for fp, at in zip(*winnow(h, k, window))]
-    prints.sort(key=lambda p: p[0])
-    keys = np.array([p[0] for p in prints], np.uint64)
-    sent = docs.sparkSession.sparkContext.broadcast((keys, [p[1:] for p in prints], fields))
+    flat = np.concatenate([h for _, _, h in fields]) if fields else np.empty(0, np.uint64)
+    ends = np.cumsum([0, *(len(h) for _, _, h in fields)])
+    keys, at = _winnow_many(flat, ends, k, window)
+    order = np.argsort(keys, kind="stable")
+    keys, at = keys[order], at[order]
+    of = np.searchsorted(ends, at, "right") - 1
+    items = np.array([i for i, _, _ in fields], np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast((keys, of.astype(np.int32), (at - ends[of]).astype(np.int32), flat, ends, items, [f for _, f, _ in fields]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, places, fields = sent.value
+        keys, of, where, flat, ends, items, names = sent.value
         for batch in steps(batches, 1, STEP_WORDS):
             ids = batch.column(0).to_numpy()
             values, offsets = _lists(batch.column(1))
             fps, at = _winnow_many(values, offsets, k, window)
             low, high = np.searchsorted(keys, fps, "left"), np.searchsorted(keys, fps, "right")
+            hit = np.flatnonzero(high > low)
+            rows = np.searchsorted(offsets, at[hit], "right") - 1
             best: dict[tuple, tuple[int, int]] = {}
-            for x in np.flatnonzero(high > low).tolist():
-                row = int(np.searchsorted(offsets, at[x], "right")) - 1
-                doc = values[offsets[row] : offsets[row + 1]]
-                for i, j in places[low[x] : high[x]]:
-                    item, field, h = fields[i]
-                    start, length = shared_span(doc, int(at[x] - offsets[row]), h, int(j))
-                    key = (int(ids[row]), item, field)
+            upto: dict[tuple, int] = {}  # end of the last run of a document and field on a diagonal
+            for x, row in zip(hit.tolist(), rows.tolist()):
+                first = int(offsets[row])
+                i = int(at[x]) - first
+                for y in range(int(low[x]), int(high[x])):
+                    f, j = int(of[y]), int(where[y])
+                    if i < upto.get((row, f, i - j), 0):
+                        continue
+                    start, length = shared_span(values[first : offsets[row + 1]], i, flat[ends[f] : ends[f + 1]], j)
+                    upto[row, f, i - j] = start + length
+                    key = (int(ids[row]), int(items[f]), names[f])
                     if length >= span and (key not in best or (-length, start) < (-best[key][1], best[key][0])):
                         best[key] = (start, length)
             yield _hits([(*key, *v) for key, v in best.items()])
@@ -141,21 +154,32 @@ def _fingerprints(df: DataFrame, span: int, k: int) -> DataFrame:
 
 
 def _against_many(docs: DataFrame, items: DataFrame, span: int, k: int) -> DataFrame:
-    """Hits against any number of fields: fingerprints are joined, hits extended beside both texts."""
+    """Hits against any number of fields: fingerprints are joined, hits extended beside both texts.
+
+    Of hits of a document and field that follow each other on a diagonal so closely that they
+    belong to one run, only the first goes on; and all that a document and field have in common
+    meet their texts at once.
+    """
     fields = cut(items.select(F.xxhash64("id", "field").alias("fid"), F.col("id").alias("item_id"), "field", "h"))
     theirs = cut(_fingerprints(fields.select(F.col("fid").alias("id"), "h"), span, k).select("fp", F.col("id").alias("fid"), F.col("at").alias("j")))
-    ours = cut(_fingerprints(docs, span, k).join(theirs.select("fp").distinct(), "fp", "left_semi"))
-    hits = cut(skew_join(ours, theirs, ["fp"]).select("id", "at", "fid", "j"))
-    texts = docs.join(hits.select("id").distinct(), "id", "left_semi").withColumnRenamed("h", "a")
-    both = hits.join(texts, "id").join(fields.withColumnRenamed("h", "b"), "fid").select("id", "item_id", "field", "at", "j", "a", "b")
+    known = broadcast_if_small(cut(theirs.select("fp").distinct()))
+    ours = cut(_fingerprints(docs, span, k).join(known, "fp", "left_semi"))
+    hits = skew_join(ours, theirs, ["fp"]).select("id", "at", "fid", "j").distinct()
+    before = F.lag("at").over(Window.partitionBy("id", "fid", F.col("at") - F.col("j")).orderBy("at"))
+    fresh = hits.withColumn("before", before).filter(F.col("before").isNull() | (F.col("at") - F.col("before") > k))
+    grouped = cut(fresh.groupBy("id", "fid").agg(F.collect_list(F.struct("at", "j")).alias("hits")))  # at most the places of one text beside another
+    texts = docs.join(broadcast_if_small(cut(grouped.select("id").distinct())), "id", "left_semi").withColumnRenamed("h", "a")
+    beside = cut(skew_join(grouped, cut(texts), ["id"]))
+    both = skew_join(beside, fields.withColumnRenamed("h", "b"), ["fid"]).select("a", "id", "item_id", "field", "hits", "b")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            (a, ao), (b, bo), rows = _lists(batch.column(5)), _lists(batch.column(6)), []
-            for x, (doc, item, field, i, j) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(5)))):
-                start, length = shared_span(a[ao[x] : ao[x + 1]], i, b[bo[x] : bo[x + 1]], j)
-                if length >= span:
-                    rows.append((doc, item, field, start, length))
+        for batch in steps(batches, 0, STEP_WORDS):
+            (a, ao), (b, bo), rows = _lists(batch.column(0)), _lists(batch.column(5)), []
+            for x, (doc, item, field, places) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(1, 5)))):
+                for place in places:
+                    start, length = shared_span(a[ao[x] : ao[x + 1]], place["at"], b[bo[x] : bo[x + 1]], place["j"])
+                    if length >= span:
+                        rows.append((doc, item, field, start, length))
             yield _hits(rows)
 
     return both.mapInArrow(extend, _HITS)

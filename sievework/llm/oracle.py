@@ -53,6 +53,17 @@ docs AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
 ours AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs)),
 hits AS (SELECT doc_id, i, item_id, field, j FROM ours JOIN theirs USING (g))"""
 
+_SPLIT = f"""{_GROUPS},
+records AS (SELECT pair_id, min({_SOURCE}) AS source FROM synthetic_dataset GROUP BY pair_id),
+linked AS (SELECT pair_id, coalesce(group_source, source) AS group_source FROM records LEFT JOIN groups USING (source)),
+summed AS (SELECT split_name, target_pct, sum(target_pct) OVER (ORDER BY split_name) AS upto, sum(target_pct) OVER () AS whole FROM split_targets),
+ranges AS (SELECT split_name, target_pct, whole, floor((upto - target_pct) * 10000 / whole) AS low, floor(upto * 10000 / whole) AS high FROM summed),
+sizes AS (SELECT group_source AS k, count(*) AS n FROM linked WHERE group_source IS NOT NULL GROUP BY 1),
+tried AS (SELECT seed, n, ('0x' || substr(md5(seed || ':' || k), 1, 12))::BIGINT % 10000 AS share FROM sizes, range(64) r(seed)),
+parts AS (SELECT seed, split_name, any_value(target_pct) AS target_pct, any_value(whole) AS whole, sum(CASE WHEN share >= low AND share < high THEN n ELSE 0 END) AS n, sum(n) AS total FROM tried, ranges GROUP BY 1, 2),
+best AS (SELECT seed FROM parts GROUP BY seed ORDER BY sum(abs(n * whole - total * target_pct)), seed LIMIT 1),
+shared AS (SELECT *, ('0x' || substr(md5(coalesce((SELECT seed FROM best), 0) || ':' || coalesce(group_source, 'id:' || pair_id)), 1, 12))::BIGINT % 10000 AS share FROM linked)"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query name."""
@@ -92,13 +103,13 @@ links AS (SELECT class_id, count(*) AS links FROM (SELECT DISTINCT least(p, q),
 SELECT pair_id, class_id, copies, coalesce(links, 0) AS links FROM named LEFT JOIN links USING (class_id)""",
         "p5_found": f"WITH RECURSIVE {_GROUPS}\nSELECT source, group_source FROM groups WHERE members > 1",
         "p5_split": f"""
-WITH RECURSIVE {_GROUPS},
-records AS (SELECT pair_id, min({_SOURCE}) AS source FROM synthetic_dataset GROUP BY pair_id),
-linked AS (SELECT pair_id, coalesce(group_source, source) AS group_source FROM records LEFT JOIN groups USING (source)),
-shared AS (SELECT *, ('0x' || substr(md5(coalesce(group_source, 'id:' || pair_id)), 1, 12))::BIGINT % 10000 AS share FROM linked),
-summed AS (SELECT split_name, target_pct, sum(target_pct) OVER (ORDER BY split_name) AS upto, sum(target_pct) OVER () AS whole FROM split_targets),
-ranges AS (SELECT split_name, floor((upto - target_pct) * 10000 / whole) AS low, floor(upto * 10000 / whole) AS high FROM summed)
+WITH RECURSIVE {_SPLIT}
 SELECT pair_id, split_name, group_source FROM shared LEFT JOIN ranges ON share >= low AND share < high""",
+        "p5_shares": f"""
+WITH RECURSIVE {_SPLIT},
+got AS (SELECT split_name, count(*) AS records FROM shared JOIN ranges ON share >= low AND share < high GROUP BY 1)
+SELECT split_name, target_pct::BIGINT AS target_pct, coalesce(records, 0) AS records, coalesce(records, 0) * 10000 // (SELECT count(*) FROM shared) AS share FROM split_targets LEFT JOIN got USING (split_name)""",
+        "p6_checks": rf"""SELECT count(*) AS items, sum(n) AS tokens, 0 AS overfull, 0 AS divided_needlessly, true AS near_bound FROM (SELECT len(regexp_extract_all(coalesce(text, ''), '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}{_WS}]+')) AS n FROM documents)""",
         "p6_found": rf"SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}{_WS}]+')) > 1024",
         "p7_found": f"""
 {_RUNS}

@@ -86,6 +86,17 @@ def pack(df: DataFrame, id_col: str, size: Column, capacity: int = 1024, *, grou
 
 
 def container_fill(packed: DataFrame, capacity: int = 1024) -> DataFrame:
-    """Per group: containers, tokens, and the tokens of room left unused."""
+    """Per group: containers, the least number that its tokens need, tokens, and the tokens of room left unused."""
     bins = packed.groupBy("container_group", "container").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces"))
-    return bins.groupBy("container_group").agg(F.count("*").alias("containers"), F.sum("tokens").alias("tokens"), (F.count("*") * capacity - F.sum("tokens")).alias("unused"))
+    return bins.groupBy("container_group").agg(F.count("*").alias("containers"), F.ceil(F.sum("tokens") / capacity).alias("least_containers"), F.sum("tokens").alias("tokens"), (F.count("*") * capacity - F.sum("tokens")).alias("unused"))
+
+
+def packing_checks(packed: DataFrame, capacity: int = 1024) -> DataFrame:
+    """One row: items, tokens, containers with more than ``capacity``, items divided without need, and whether
+    there are at most 2 % more containers than the tokens need, and one a group."""
+    bins = packed.groupBy("container_group", "container").agg(F.sum("tokens").alias("tokens"))
+    groups = bins.groupBy("container_group").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"), F.count_if(F.col("tokens") > capacity).alias("overfull"))
+    a = groups.agg(F.coalesce(F.sum("overfull"), F.lit(0)).alias("overfull"), (F.sum("n") * 100 * capacity <= 102 * F.sum("t") + 100 * capacity * F.count("*")).alias("near_bound"))
+    items = packed.groupBy("id").agg(F.sum("tokens").alias("tokens"), F.max("pieces").alias("pieces"))
+    b = items.agg(F.count("*").alias("items"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= capacity)).alias("divided_needlessly"))
+    return b.crossJoin(a)  # one row each

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from sievework.functions.text import or_true, source_name, trim_blanks
 from sievework.llm.capping import Capped, cap_contributors
 from sievework.llm.contamination import find_leaks
-from sievework.llm.entity_splits import source_groups, split_by_group
+from sievework.llm.entity_splits import achieved_shares, source_groups, split_by_group
 from sievework.llm.near_dup import NearDuplicates, duplicate_classes, id_pairs, near_duplicates
-from sievework.llm.packing import container_fill, pack, token_count
+from sievework.llm.packing import container_fill, pack, packing_checks, token_count
 from sievework.llm.pair_defects import find_defects
 from sievework.llm.target_sample import TargetSample, target_sample
 from sievework.llm.unfit_text import CATEGORIES, fit_model, score_documents
@@ -78,9 +78,16 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return groups.join(several, "group_source", "left_semi").select("source", "group_source")
 
 
+def _split(spark: SparkSession, d: str) -> DataFrame:
+    return split_by_group(table(spark, d, "synthetic_dataset"), "pair_id", "source", table(spark, d, "source_files"), table(spark, d, "split_targets")).records
+
+
 def p5_split(spark: SparkSession, d: str) -> DataFrame:
-    split = split_by_group(table(spark, d, "synthetic_dataset"), "pair_id", "source", table(spark, d, "source_files"), table(spark, d, "split_targets"))
-    return split.records.withColumnRenamed("id", "pair_id")
+    return _split(spark, d).withColumnRenamed("id", "pair_id")
+
+
+def p5_shares(spark: SparkSession, d: str) -> DataFrame:
+    return achieved_shares(_split(spark, d), table(spark, d, "split_targets"))
 
 
 def _packed(spark: SparkSession, d: str) -> DataFrame:
@@ -99,6 +106,10 @@ def p6_fill(spark: SparkSession, d: str) -> DataFrame:
     return container_fill(_packed(spark, d))
 
 
+def p6_checks(spark: SparkSession, d: str) -> DataFrame:
+    return packing_checks(_packed(spark, d))
+
+
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     return find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", ["question", "answer", "passage"])
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.session import broadcast_if_small, cut
+from sievework.session import cut, skew_join
 
 _MIN = -(1 << 63)
 
@@ -63,7 +63,8 @@ def cutoffs(rows: DataFrame, bounds: DataFrame, group: str, hi: str, lo: str) ->
     for _ in range(17):
         if state.isEmpty():
             break
-        inside = rows.select(group, F.col(hi).alias("_h"), F.col(lo).alias("_l")).join(broadcast_if_small(state.select(group, "left", "at", "mh", "ml", "vh", "vl")), group)
+        keys = rows.select(group, F.col(hi).alias("_h"), F.col(lo).alias("_l"))
+        inside = skew_join(keys, state.select(group, "left", "at", "mh", "ml", "vh", "vl"), [group])
         inside = inside.filter((F.col("_h").bitwiseAND(F.col("mh")) == F.col("vh")) & (F.col("_l").bitwiseAND(F.col("ml")) == F.col("vl")))
         counted = inside.groupBy(group, "left", _byte(F.col("_h"), F.col("_l"), F.col("at")).alias("digit")).agg(
             F.count("*").alias("n"), F.min("_h").alias("h0"), F.max("_h").alias("h1"), F.min("_l").alias("l0"), F.max("_l").alias("l1")

@@ -15,7 +15,8 @@ from sievework.session import broadcast_if_small, cut
 
 @dataclass
 class TargetSample:
-    """``sample``: plan_id, cell_id, id. ``report``: a row per cell with its quota and shortfall."""
+    """``sample``: plan_id, cell_id, id. ``report``: a row per cell with its quota, the share of the sample
+    that this makes, and the shortfall: records missing to what is wanted or to the minimum."""
 
     sample: DataFrame
     report: DataFrame
@@ -50,7 +51,7 @@ def allocate(total: int, weights: list[int], floors: list[int], available: list[
     return quota
 
 
-_REPORT = "plan_id int, cell_id int, available bigint, wanted double, min_rows bigint, quota bigint, unmet boolean"
+_REPORT = "plan_id int, cell_id int, available bigint, wanted double, min_rows bigint, quota bigint, shortfall bigint, share double, unmet boolean"
 
 
 def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -68,6 +69,8 @@ def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
             "wanted": [float(w) for w in wanted],
             "min_rows": least,
             "quota": quota,
+            "shortfall": [max(0, -(-w.numerator // w.denominator) - a, m - a) for a, w, m in zip(c, wanted, least)],
+            "share": [round(q / max(1, sum(quota)), 6) for q in quota],
             "unmet": [a < w or a < m for a, w, m in zip(c, wanted, least)],
         }
     )

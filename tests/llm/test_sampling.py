@@ -47,6 +47,7 @@ def test_target_sample(spark):
     assert report[10].available == counts["a"] and report[11].available == counts["b"]
     for c, (have, pct, sample, least) in {10: (counts["a"], 50, 50, 5), 11: (counts["b"], 50, 50, 5), 20: (counts["b"], 90, 100, 5), 21: (0, 5, 10, 2), 22: (counts["a"], 0, 0, 0)}.items():
         assert report[c].unmet == (have * 10000 < pct * sample * n or have < least)
+    assert report[21].shortfall == 3 and report[10].shortfall == 0 and abs(report[10].share - 0.5) < 0.01
     chosen = got.sample.collect()
     assert Counter(r.cell_id for r in chosen) == {c: r.quota for c, r in report.items() if r.quota}
     assert len({(r.plan_id, r.cell_id, r.id) for r in chosen}) == len(chosen)
