@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,6 +50,13 @@ def run_cost(done: DataFrame) -> DataFrame:
     return done.groupBy("fingerprint").agg(F.count("*").alias("calls"), n("tokens"), n("pairs"), n("attempt"))
 
 
+def clear(spark: SparkSession, *paths: str) -> None:
+    """Delete logs; ones that are not there are no error."""
+    for p in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def append(spark, path: str, run: str, records: DataFrame) -> None:
     """Add records (key, payload) of a run to a log kept as Parquet; repeats are sorted out when it is read."""
     records.select(F.lit(run).alias("fingerprint"), F.col("key").alias("chunk_key"), "payload", F.current_timestamp().alias("appended_at")).write.mode("append").parquet(path)

@@ -592,8 +592,8 @@ def swept_dedup(s: SparkSession, d: str) -> DataFrame:
     return sweeps.swept_dedup(cut(graded.withColumn("vector", dedup.hashed_vector(dedup.dedup_text(F.col("question"), F.col("answer"))))), "ord", "vector")
 
 
-def _sweep_sql() -> str:
-    """The recursive scan, once per threshold."""
+def _sweep_sql() -> tuple[str, str]:
+    """The recursive scan, once per threshold, and what is counted of it."""
     parts, picks = [_EDGES.replace("0.35", str(min(_SWEPT)))], []
     for k, t in enumerate(_SWEPT):
         own = _GREEDY.format(f"WHERE similarity >= {t}")
@@ -601,14 +601,29 @@ def _sweep_sql() -> str:
             own = own.replace(f"{name} ", f"{name}{k} ").replace(f"{name}(", f"{name}{k}(").replace(f"{name}.", f"{name}{k}.")
         parts.append(own)
         picks.append(f"SELECT {t}::DOUBLE AS threshold, (SELECT count(*) FROM stays{k}) AS survivors, (SELECT count(*) FROM embeddings) - (SELECT count(*) FROM stays{k}) AS removed")
-    return "WITH RECURSIVE " + ", ".join(parts) + " " + " UNION ALL ".join(picks)
+    return "WITH RECURSIVE " + ", ".join(parts), " UNION ALL ".join(picks)
 
 
-@query(_sweep_sql())
+@query(" ".join(_sweep_sql()))
 def dedup_sweep(s: SparkSession, d: str) -> DataFrame:
     return sweeps.dedup_sweep(table(s, d, "embeddings"), "vec_id", "embedding", _SWEPT)
 
 
+def _removals_sql() -> str:
+    """Per threshold, the three removals that resemble their match least."""
+    picks = []
+    for k, t in enumerate(_SWEPT):
+        own = f"SELECT i, arg_max(j, (similarity, -j)) AS duplicate_of, max(similarity) AS s FROM edges WHERE similarity >= {t} AND i NOT IN (SELECT vec_id FROM stays{k}) AND j IN (SELECT vec_id FROM stays{k}) GROUP BY i"
+        picks.append(f"SELECT {t}::DOUBLE AS threshold, i, duplicate_of, round(s, 4) AS similarity, nth FROM (SELECT *, row_number() OVER (ORDER BY s, i) AS nth FROM ({own})) WHERE nth <= 3")
+    return _sweep_sql()[0] + " " + " UNION ALL ".join(picks)
+
+
+@query(_removals_sql())
+def least_similar_removals(s: SparkSession, d: str) -> DataFrame:
+    edges = _embedding_edges(s, d, min(_SWEPT))
+    return sweeps.least_similar_removals(edges, _SWEPT).select("threshold", "i", "duplicate_of", F.round("similarity", 4).alias("similarity"), F.col("nth").cast("bigint").alias("nth"))
+
+
 _RATED = """rated AS (SELECT doc_id, min(l) FILTER (side = 'a') AS a, min(l) FILTER (side = 'b') AS b FROM (
   SELECT doc_id, substring(rater, 7, 1) AS side, CASE lower(trim(category)) WHEN 'none' THEN 0 WHEN 'abusive' THEN 1 WHEN 'hateful' THEN 2 WHEN 'sexual' THEN 3 END AS l FROM content_labels) GROUP BY doc_id)"""
 

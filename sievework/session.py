@@ -6,6 +6,9 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,20 +81,40 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, so that later passes neither recompute it nor depend on
-    any executor. The folder goes when the application ends.
+    any executor. The folder goes when the application ends, or with the ``work_scope`` around.
     """
     spark = df.sparkSession
     folder = work_folder(spark)
     _clean_at_exit(spark, folder)
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = f"{folder}/{_scope.get()}{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Delete all that was ``cut`` so far; results built on it can no longer be read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, work_folder(spark))
+
+
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what is ``cut`` inside; results must be written or collected before. Scopes may be nested."""
+    outer = _scope.get()
+    token = _scope.set(f"{outer}{uuid.uuid4().hex}/")
+    try:
+        yield
+    finally:
+        own = _scope.get()
+        _scope.reset(token)
+        _delete(spark, f"{work_folder(spark)}/{own}")
 
 
 def _bytes(c: Column, kind: T.DataType) -> Column:

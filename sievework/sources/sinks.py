@@ -63,7 +63,7 @@ def write_stats(counted: DataFrame, folder: str, **more: DataFrame) -> None:
 
 
 def file_facts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``path, there, size, records``: records are lines that are not blank."""
+    """``path, there, size, records, changed``: records are lines that are not blank; changed is when it was written last."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     rows = []
     for p in paths:
@@ -72,8 +72,10 @@ def file_facts(spark: SparkSession, paths: list[str]) -> DataFrame:
         there = fs.exists(at)
         size = fs.getContentSummary(at).getLength() if there else 0
         n = spark.read.text(p).filter(F.length(strip(F.col("value"))) > 0).count() if there and size else 0
-        rows.append((p, there, size, n))
-    return spark.createDataFrame(rows, "path string, there boolean, size bigint, records bigint")
+        changed = fs.getFileStatus(at).getModificationTime() if there else None
+        rows.append((p, there, size, n, changed))
+    facts = spark.createDataFrame(rows, "path string, there boolean, size bigint, records bigint, _ms bigint")
+    return facts.withColumn("changed", F.timestamp_millis("_ms")).drop("_ms")
 
 
 def archive(folder: str, facts: list[dict]) -> bytes:

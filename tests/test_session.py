@@ -36,3 +36,27 @@ def test_clear_work(spark):
     with pytest.raises(Exception):
         spark.read.parquet(got.inputFiles()[0])
     assert cut(spark.range(3)).count() == 3
+
+
+def test_scopes_delete_their_tables(spark):
+    from pathlib import Path
+
+    from sievework.session import work_folder, work_scope
+
+    keep = cut(spark.range(3))
+    with work_scope(spark):
+        inner = cut(spark.range(5))
+        files = inner.inputFiles()
+        assert inner.count() == 5
+    assert not any(Path(f.removeprefix("file://").removeprefix("file:")).exists() for f in files)
+    assert keep.count() == 3 and all(work_folder(spark).removeprefix("file:") in f for f in files)
+
+
+def test_broadcasts_are_bounded_by_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from sievework.session import _is_marked, broadcast_if_small
+
+    wide = spark.range(100).withColumn("s", F.repeat(F.lit("x"), 1000)).withColumn("l", F.split(F.repeat(F.lit("a "), 50), " "))
+    assert _is_marked(broadcast_if_small(wide)) and not _is_marked(broadcast_if_small(wide, most_bytes=50_000)) and not _is_marked(broadcast_if_small(wide, limit=99))
+    assert _is_marked(broadcast_if_small(spark.range(0)))
