@@ -78,6 +78,16 @@ c AS (
 SELECT plan_id, cell_id
 FROM sample_targets t LEFT JOIN c USING (question_type, answerable), n
 WHERE coalesce(c, 0) * 10000 < target_pct::BIGINT * sample_pct * n OR coalesce(c, 0) < min_rows""",
+        "p1_plans": f"""
+WITH {_PAIRS},
+n AS (SELECT count(*) AS n FROM pairs),
+c AS (
+  SELECT regexp_replace(lower(question_type), '^[ \\t]+|[ \\t]+$', '', 'g') AS question_type, coalesce(answerable, true) AS answerable, count(*) AS c
+  FROM pairs GROUP BY ALL
+),
+cells AS (SELECT plan_id, target_pct, target_pct::BIGINT * sample_pct * n AS wanted, least(greatest(min_rows, 0), coalesce(c, 0)) AS low, coalesce(c, 0) AS c FROM sample_targets LEFT JOIN c USING (question_type, answerable), n),
+plans AS (SELECT plan_id, (2 * sum(wanted) + 10000) // 20000 AS total, sum(low) AS low, sum(CASE WHEN target_pct > 0 THEN c ELSE low END) AS high FROM cells GROUP BY 1)
+SELECT plan_id, greatest(low, least(total, high)) AS sampled FROM plans WHERE greatest(low, least(total, high)) > 0""",
         "p2_found": f"""
 WITH {_PAIRS},
 ranked AS (

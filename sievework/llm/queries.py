@@ -13,7 +13,7 @@ from sievework.llm.contamination import find_leaks
 from sievework.llm.entity_splits import achieved_shares, source_groups, split_by_group
 from sievework.llm.near_dup import NearDuplicates, duplicate_classes, id_pairs, near_duplicates
 from sievework.llm.packing import container_fill, pack, packing_checks, token_count
-from sievework.llm.pair_defects import find_defects
+from sievework.llm.pair_defects import find_defects, read_pairs, templates
 from sievework.llm.target_sample import TargetSample, target_sample
 from sievework.llm.unfit_text import CATEGORIES, fit_model, score_documents
 from sievework.session import cut, table
@@ -36,6 +36,11 @@ def p1_sample(spark: SparkSession, d: str) -> DataFrame:
     return _sample(spark, d).sample.withColumnRenamed("id", "pair_id")
 
 
+def p1_plans(spark: SparkSession, d: str) -> DataFrame:
+    """Per plan the records that its sample has."""
+    return _sample(spark, d).sample.groupBy("plan_id").agg(F.count("*").alias("sampled"))
+
+
 def _capped(spark: SparkSession, d: str) -> Capped:
     return cap_contributors(table(spark, d, "synthetic_dataset"), "pair_id", source_name(F.col("source")), F.col("quality_score"), delivered=F.col("written_at"), share_of=50)
 
@@ -65,6 +70,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return find_defects(table(spark, d, "synthetic_dataset"), "pair_id", "question", "answer", F.col("answerable"), delivered=F.col("written_at"))
 
 
+def p4_templates(spark: SparkSession, d: str) -> DataFrame:
+    """The templates that recur over unrelated prompts and bring nothing, with the prompts of their cluster."""
+    pairs = table(spark, d, "synthetic_dataset")
+    return templates(read_pairs(pairs, "pair_id", "question", "answer", F.col("answerable"), F.col("written_at"))).filter("recurs").select(F.col("word").alias("template"), "uses", "prompts", F.round("shared", 4).alias("shared"))
+
+
 def p4_rates(spark: SparkSession, d: str) -> DataFrame:
     """Defects by kind and source, against the pairs of the source."""
     pairs = table(spark, d, "synthetic_dataset").filter("pair_id is not null").groupBy("pair_id").agg(F.min(source_name(F.col("source"))).alias("source"))
