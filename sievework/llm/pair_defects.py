@@ -34,8 +34,8 @@ from sievework.operators.deliveries import without_older
 from sievework.session import broadcast_if_small, cut, skew_join
 
 DEFECTS = ("empty", "copied_question", "other_language", "refusal", "truncated")
-#: Words of a shingle; least similarity in a cluster; bands, and MinHash rows of each.
-SHINGLE, SIMILAR, BANDS, BAND_ROWS = 5, 0.8, 10, 3
+#: Words of a shingle; least similarity in a cluster; bands, and MinHash rows of each; members of a band that all others are compared with at first.
+SHINGLE, SIMILAR, BANDS, BAND_ROWS, HEADS = 5, 0.8, 10, 3, 16
 #: Words of an answer up to which its last words alone don't tell that it breaks off.
 BRIEF = 6
 #: Bytes of answers read at a time; words over which counts are combined before they are sent on.
@@ -512,21 +512,24 @@ def _clusters(clauses: DataFrame) -> DataFrame:
     """``key, cluster``: verified MinHash clusters of distinct clauses ``key, word``, named by their least key.
 
     Shingles of five words; of shorter clauses, the whole. In a band, the clauses are compared
-    with its least; then with the least of those that were not similar, and so on until every one
-    is similar to one that it was compared with. Links are followed to their end.
+    with up to HEADS of them; then with some of those that were not similar, four times as many each round,
+    until every one is similar to one that it was compared with. Links are followed to their end.
     """
     w = F.split("word", " ")
     n = F.greatest(F.size(w) - SHINGLE + 1, F.lit(1))
     shingles = F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.array_join(F.slice(w, i, SHINGLE), " "))))
     sets = cut(clauses.select("key", shingles.alias("s")))
-    mins = [F.array_min(F.transform("s", lambda x, j=j: F.xxhash64(F.lit(j), x))) for j in range(BANDS * BAND_ROWS)]
+    salted = lambda j: lambda x: F.xxhash64(F.lit(j), x)  # noqa: E731 - a second parameter would be taken for the place in the array
+    mins = [F.array_min(F.transform("s", salted(j))) for j in range(BANDS * BAND_ROWS)]
     bands = F.array(*[F.xxhash64(F.lit(b), *mins[b * BAND_ROWS : (b + 1) * BAND_ROWS]) for b in range(BANDS)])
     rows = sets.select("key", "s", F.explode(bands).alias("band"))
     several = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     rows = cut(rows.join(broadcast_if_small(cut(several)), "band", "left_semi"))
-    links, left = None, rows
+    links, left, many = None, rows, HEADS
     while not left.isEmpty():
-        heads = cut(left.groupBy("band").agg(F.min_by("s", "key").alias("hs"), F.min("key").alias("head")))
+        lot = F.pmod(F.xxhash64("key", "band"), F.lit(many))
+        heads = cut(left.groupBy("band", lot.alias("lot")).agg(F.min_by("s", "key").alias("hs"), F.min("key").alias("head")).drop("lot"))
+        many *= 4
         common = F.size(F.array_intersect("s", "hs"))
         alike = F.col("key").eqNullSafe(F.col("head")) | (common >= SIMILAR * (F.size("s") + F.size("hs") - common))
         found = cut(skew_join(rows, heads, ["band"]).filter(alike).select("key", "head", "band"))

@@ -141,10 +141,17 @@ def test_clusters_against_all_pairs(spark):
     assert len(got) == len(rows)
     shingles = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
     links = [(i, j) for i in range(len(rows)) for j in range(i) if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])]
-    assert len(links) > 500
+    assert len(links) > 300
     assert sum(got[i] == got[j] for i, j in links) >= 0.9 * len(links)
 
 
+def test_short_clauses_that_differ_by_a_word_are_one_cluster(spark):
+    base = ["answering this goes beyond what we may do", "it would not be fitting for us to comment on @", "we are unable to give details on @ or @"]
+    rows = [(10 * i + j, lead + b) for i, b in enumerate(base) for j, lead in enumerate(("", "but ", "however ", "well "))]
+    got = {x.key: x.cluster for x in _clusters(spark.createDataFrame(rows, "key bigint, word string")).collect()}
+    assert sum(got[k] == k // 10 * 10 for k, _ in rows) >= 11  # each pair meets with a chance over 0.999
+
+
 def test_latest_delivery_of_a_pair_holds(spark):
     rows = [(1, Q, "It may have 14 percent.", True, 1), (1, Q, None, True, 2), (2, Q, "", True, 1), (2, Q, "It may have 14 percent.", True, 2), (3, Q, None, True, None)]
     df = spark.createDataFrame(rows, "pair_id bigint, question string, answer string, answerable boolean, at int")
