@@ -212,6 +212,8 @@ def _other_language(q: str, asked: list[tuple], answer: str, said: list[tuple],
     s, a, n = _language_scores(said if bare is answer else _tokens(bare), bare)
     top = max(a)
     best = a.index(top)
+    if s != "LATIN" and q and _script(q) != s:  # by letters, as some scripts set no spaces
+        return sum(map(str.isalpha, bare)) >= 4 and any(c.isalpha() for c in q), best
     if end < 1 and n < 7:  # the beginning of a sentence tells too little
         return False, best
     if s == "LATIN" and top < 1.5:

@@ -26,7 +26,7 @@ def test_copies(a, is_it):
 
 
 @pytest.mark.parametrize("q,a,is_it", [
-    (Q, "Die Ernte wird im Schatten getrocknet und danach von dem Amt geprüft.", True), (Q, "Рекомендуется сушить зерно в тени.", True), (Q, "Recomendam-se 74 quilos por hectare, e o grupo verifica a quantidade antes do plantio.", True),
+    (Q, "Die Ernte wird im Schatten getrocknet und danach von dem Amt geprüft.", True), (Q, "Рекомендуется сушить зерно в тени.", True), (Q, "谷物应在阴凉处晾干", True), (Q, "穀物は日陰で乾かす。", True), (Q, "日", False), ("种子应该放多久？", "九天。", False), (None, "谷物应在阴凉处晾干", False), (Q, "Recomendam-se 74 quilos por hectare, e o grupo verifica a quantidade antes do plantio.", True),
     (Q, "Growers in the valley call this 'la tierra abierta de los campesinos' and teach it at budding.", False), (Q, "44 scoops", False), (Q, "Kelovan and Dubaris", False), ("Wie lange muss das Saatgut ruhen, bevor es gesät wird?", "Das Saatgut ruht 9 Tage im Schatten.", False),
     ("Wie lange muss das Saatgut ruhen, bevor es gesät wird?", "The store takes grain up to 9 percent of moisture.", True), (None, "Die Ernte wird im Schatten getrocknet.", False), ("Wie lange muss das Saatgut ruhen, bevor es gesät wird?", "Das Saatgut ruht of the", False),
 ])
