@@ -106,6 +106,27 @@ def test_every_upload_gets_a_status(spark):
     assert len(got) == 1200 and [k for k, v in got.items() if v == "saved"] == [f"f{i:04}.txt" for i in range(8)]
 
 
+def _docx(paragraphs):
+    import io
+    import zipfile
+
+    body = "".join(f"<w:p><w:r><w:t>{p}</w:t><w:tab/><w:t>end</w:t></w:r></w:p>" for p in paragraphs)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("word/document.xml", f'<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body>{body}<w:tbl><w:tr><w:tc><w:p><w:r><w:t>cell</w:t></w:r></w:p></w:tc></w:tr></w:tbl></w:body></w:document>')
+    return out.getvalue()
+
+
+def test_docx_pages(spark):
+    assert files.docx_pages(_docx(["Dry &amp; store", "Zé"])) == ["Dry & store\tend\n\nZé\tend\n\ncell"]
+    assert len(files.docx_pages(_docx(["x" * 1000] * 9))) == 5 and files.docx_pages(_docx([])) == ["cell"]
+    found = spark.createDataFrame([("a.docx", "docx", bytearray(_docx(["One", "Two"]))), ("b.docx", "docx", bytearray(b"no zip")), ("c.txt", "txt", bytearray(b"x"))], "source_file string, suffix string, content binary")
+    wanted = spark.createDataFrame([("a.docx", 0), ("b.docx", 0)], "source_file string, page int")
+    assert [(r.source_file, r.page, r.page_content) for r in files.read_paged(found, "docx", files.docx_pages, wanted).collect()] == [("a.docx", 0, "One\tend\n\nTwo\tend\n\ncell")]
+    with pytest.raises(Exception):
+        files.read_paged(found, "docx", files.docx_pages).collect()
+
+
 def test_pages_of_a_long_text():
     paras = [f"para {i}x{'x' * (i % 50)}" for i in range(20_000)]
     pages = ingest.pages_of("\n\n".join(paras), 300)
