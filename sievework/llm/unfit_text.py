@@ -174,7 +174,7 @@ class _Entries:
         return np.add.reduceat(values_by_col, self.col_at) if len(self.row) else np.zeros(len(self.used), np.float32)
 
 
-def _fit(e: _Entries, y: np.ndarray, r: np.ndarray, steps: int = 20, l2: float = 0.01) -> tuple[np.ndarray, float]:
+def _fit(e: _Entries, y: np.ndarray, r: np.ndarray, steps: int = 13, l2: float = 0.01) -> tuple[np.ndarray, float]:
     """Weights (of the n-grams used) and bias of one category: logistic regression by AdaGrad on scaled n-grams."""
     x = r[e.col] * e.times
     size = np.sqrt(e.row_sums(x * x)) + 1e-6
