@@ -5,12 +5,13 @@ This is the lexicographically first maximal independent set of the similarity gr
 in rounds over the edges (Blelloch, Fineman and Shun, SPAA 2012), not by a scan.
 
 Rows with equal vectors and equal numbers are compared once, as their first; the others always go,
-and have one edge, to the first. The edges are exact. Rows are homed at the nearest of some pivots
-and also sent to every pivot p with angle(x, p) <= angle(x, home) + 2 * angle(threshold); by the
-triangle inequality both rows of a similar pair meet at the home of either. Cells with many rows get
-pivots of their own, and so on, so that the size of a cell doesn't grow with the table. A cell's rows
-are compared in chunks by matrix products; no task holds more than a chunk of homed rows and a batch
-of others.
+and have one edge, to the first. The edges are exact. Rows are homed at the nearest of some pivots,
+the means of groups of a sample, and sent beyond a border that is near: if rows of two homes are
+similar, one of them lies no further from the plane between the pivots than half their greatest
+distance. Pivots with crowded borders make one cell. Vectors are packed without loss and travel in
+compressed blocks, of which a cell's chunks of some ten thousand rows are made; each pair of chunks is
+a unit of work, so a row is repeated once for every chunk of its cell. Chunks are compared by matrix products of
+some principal axes and the norm of the rest, which bound the cosine; what is left is computed in doubles.
 """
 
 from __future__ import annotations
@@ -26,14 +27,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.text import number_set, opener
-from sievework.session import broadcast_if_small, cut, skew_join
-
-#: Rows homed in a cell, about; pivots of a cell that is divided; levels at most; rows of a chunk, and of a task that divides.
-PIVOT_ROWS, PIVOTS, LEVELS, CHUNK, PART = 20_000, 128, 8, 4096, 100_000
+from sievework.session import broadcast_if_small, cut, _is_marked, skew_join, work_scope
+
+#: Half of the rows up to which there is one cell; pivots at most; rows of the sample that they come from; rows of a chunk, and of a task's rows placed at once.
+PIVOT_ROWS, PIVOTS, SAMPLE, CHUNK, PART = 20_000, 256, 8192, 65_536, 40_000
+#: Rows and columns of one matrix product; pairs of rows that a task should compare, about.
+TILE, WORK = 1024, 600_000_000
+#: Axes that products may be cut to, and the share of pairs that this may leave over.
+AXES, LEFT = (32, 48, 64, 96, 128, 192), 0.002
 #: Nodes up to which resolve() broadcasts them, 8 bytes each.
 NODES = 500_000
-#: Share of pivots that rows are sent to beyond which dividing costs more than it saves.
-MOST_SPREAD = 0.25
+#: Share of all comparisons that cells must leave at most to be worth making.
+MOST_WORK = 0.5
 
 
 def dedup_text(question: Column, answer: Column, question_only: bool = False) -> Column:
@@ -50,28 +55,48 @@ def number_veto(a: Column, b: Column) -> Column:
     return (F.size(a) > 0) & (F.size(b) > 0) & (a != b)
 
 
-def hashed_vector(text: Column, dim: int = 256) -> Column:
+#: Bytes that are no ASCII letter or digit become blanks.
+_LETTERS = bytes(x if chr(x).isalnum() and x < 128 else 32 for x in range(256))
+
+
+def _hashed_counts(texts: list[str | None], dim: int) -> np.ndarray:
+    """Signed counts of each text's hashed words and word pairs."""
+    import re
+    import zlib
+
+    words, crc, ends, hashes = re.compile(r"[^\W_]+").findall, zlib.crc32, [], []
+    for t in texts:
+        low = (t or "").lower()
+        w = low.encode().translate(_LETTERS).split() if low.isascii() else [x.encode() for x in words(low)]
+        each = [crc(g) for g in w]
+        hashes += each
+        hashes += [crc(b" " + q, h) for h, q in zip(each, w[1:])]
+        ends.append(len(hashes))
+    h = np.array(hashes, np.int64)
+    at = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)) * dim + h % dim
+    return np.bincount(at, np.where(h >> 31, 1.0, -1.0), len(ends) * dim).reshape(-1, dim)
+
+
+def hashed_vector(text: Column, dim: int = 256, packed: bool = False) -> Column:
     """A deterministic stand-in for a sentence model: unit vector of hashed words and word pairs.
 
-    A text without words gives the null vector, which resembles nothing.
+    A text without words gives the null vector, which resembles nothing. ``packed`` gives the same
+    vectors as bytes, as similarity_edges() keeps them.
     """
 
     def run(texts: pd.Series) -> pd.Series:
-        import re
-        import zlib
+        all_, out = texts.tolist(), []
+        for k in range(0, len(all_), 512):
+            counts = _hashed_counts(all_[k : k + 512], dim)
+            if not packed:
+                out += list(_units(counts))
+            elif np.abs(counts).max() <= 127:
+                out += [b"c" + x.tobytes() for x in counts.astype(np.int8)]
+            else:
+                out += _packed(_units(counts))
+        return pd.Series(out)
 
-        def one(t: str | None) -> list[float]:
-            v = np.zeros(dim)
-            w = re.findall(r"[^\W_]+", (t or "").lower())
-            for g in [*w, *(" ".join(p) for p in zip(w, w[1:]))]:
-                h = zlib.crc32(g.encode())
-                v[h % dim] += 1.0 if h >> 31 else -1.0
-            n = np.linalg.norm(v)
-            return (v / n if n else v).astype(np.float32).tolist()
-
-        return texts.map(one)
-
-    return F.pandas_udf(run, "array<float>")(text)
+    return F.pandas_udf(run, "binary" if packed else "array<float>")(text)
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -79,12 +104,49 @@ def cosine(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return values.reshape(len(column), -1) if len(column) else np.empty((0, 0))
+def _units(counts: np.ndarray) -> np.ndarray:
+    c = counts.astype(np.float64)
+    n = np.sqrt((c * c).sum(1))
+    return (c / np.where(n > 0, n, 1.0)[:, None]).astype(np.float32)
+
+
+def _packed(v: np.ndarray) -> list[bytes]:
+    """Each row as bytes: whole numbers (``c``) if the row comes out when they are divided by their norm, else its floats (``f``)."""
+    size = np.abs(v)
+    least = np.where(size > 0, size, np.inf).min(1, initial=np.inf)[:, None]
+    c = np.rint(v / least)
+    whole = (np.abs(c) <= 127).all(1)
+    c = np.where(whole[:, None], c, 0).astype(np.int8)
+    whole &= (_units(c) == v).all(1)
+    return [b"c" + x.tobytes() if w else b"f" + y.tobytes() for w, x, y in zip(whole.tolist(), c, v)]
+
+
+def _unpacked(rows: list[bytes]) -> np.ndarray:
+    """The float32 rows."""
+    if len({len(x) for x in rows}) > 1:
+        kinds = np.array([x[:1] == b"c" for x in rows])
+        parts = [_unpacked([x for x, k in zip(rows, kinds) if k == kind]) for kind in (True, False)]
+        out = np.empty((len(rows), parts[0].shape[1]), np.float32)
+        out[kinds], out[~kinds] = parts
+        return out
+    return _flat(b"".join(rows), len(rows))
 
 
-_PLACED = "cell bigint, home boolean, o bigint, v array<float>, n array<string>"
+def _flat(data: bytes, n: int) -> np.ndarray:
+    """The float32 rows of n packed ones of one kind."""
+    at = np.frombuffer(data, np.uint8).reshape(n, -1)
+    return _units(at[:, 1:].view(np.int8)) if at[0, 0] == ord("c") else np.ascontiguousarray(at[:, 1:]).view(np.float32)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            ready, own = pa.types.is_binary(batch.schema.field(1).type), []
+            rows = batch.column(1) if ready else pa.array(_packed(batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(batch.num_rows, -1)), pa.binary())
+            for k in range(0, batch.num_rows, 512):
+                v = _unpacked(rows[k : k + 512].to_pylist())
+                own.append((np.ascontiguousarray(v.T).astype(np.float64) ** 2).sum(0))
+            yield pa.record_batch([batch.column(0), rows, batch.column(2), pa.array(np.concatenate(own))], ["o", "v", "n", "own"])
 
 
 def _runs(batch: pa.RecordBatch, columns: int) -> list[tuple[int, int]]:
@@ -98,124 +160,197 @@ def _runs(batch: pa.RecordBatch, columns: int) -> list[tuple[int, int]]:
     return [(low, high) for low, high in zip(edges, edges[1:]) if high > low]
 
 
-def _divide(placed: DataFrame, big: DataFrame, reach: float, level: int, seed: int) -> DataFrame:
-    """The rows of ``big`` cells (cell, number homed, parts) among pivots of these cells."""
-    wide = skew_join(placed, big, ["cell"])
-    lot = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.col("o")), F.lit(1 << 30))
-    drawn = wide.filter(F.col("home") & (lot < F.lit(4 * PIVOTS * float(1 << 30)) / F.col("homed")))
-    pivots = drawn.groupBy("cell", "parts").agg(F.slice(F.sort_array(F.collect_list(F.struct(lot.alias("lot"), "o", "v"))), 1, PIVOTS).alias("p"))  # about 4 * PIVOTS rows a cell
-    first = pivots.select("cell", "parts", F.inline("p")).select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "o", "v")
-    first = first.select("cell", "part", F.lit(0).alias("side"), F.lit(True).alias("home"), "o", "v", F.lit(None).cast("array<string>").alias("n"))
-    part = F.pmod(F.xxhash64("o"), F.col("parts")).cast("int")
-    both = first.unionByName(wide.select("cell", part.alias("part"), F.lit(1).alias("side"), "home", "o", "v", "n"))
+def _near(x: np.ndarray, pivots: np.ndarray, cell: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+    """The home cell of each row, and a matrix of the cells that it belongs to, at home or beyond a border at most ``half`` away."""
+    score = x @ pivots.T - (pivots * pivots).sum(1) / 2
+    nearest = score.argmax(1)
+    square = (pivots * pivots).sum(1)
+    apart = np.sqrt(np.maximum(square[:, None] + square - 2 * pivots @ pivots.T, 1e-12))
+    close = (score[np.arange(len(x)), nearest][:, None] - score) / apart[nearest] <= half
+    order = np.argsort(cell, kind="stable")
+    within = np.logical_or.reduceat(close[:, order], np.searchsorted(cell[order], np.arange(cell.max() + 1)), axis=1)
+    home = cell[nearest]
+    within[np.arange(len(x)), home] = True
+    return home, within
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-        for batch in batches:
-            for low, high in _runs(batch, 3):
-                rows = batch.slice(low, high - low)
-                cell, part, side = (rows.column(k)[0].as_py() for k in range(3))
-                if (cell, part) != key:
-                    key, held = (cell, part), []
-                if side == 0:
-                    held.append(_matrix(rows.column(5)))
-                    continue
-                at = np.concatenate(held)
-                angle = np.arccos(np.clip(_matrix(rows.column(5)) @ at.T, -1, 1))
-                nearest = angle.argmin(1)
-                row, pivot = np.nonzero(angle <= angle.min(1)[:, None] + reach + 1e-9)
-                taken = rows.take(pa.array(row))
-                home = taken.column(3).to_numpy(zero_copy_only=False) & (nearest[row] == pivot)
-                own = np.int64(cell) * PIVOTS + pivot.astype(np.int64) + 1
-                yield pa.record_batch([pa.array(own), pa.array(home), taken.column(4), taken.column(5), taken.column(6)], ["cell", "home", "o", "v", "n"])
-
-    arranged = both.repartition("cell", "part").sortWithinPartitions("cell", "part", "side")
-    return arranged.mapInArrow(place, _PLACED)
-
-
-def _spread(rows: DataFrame, reach: float, seed: int) -> float:
-    """The share of pivots that a row is sent to, on average, from PIVOTS pivots and 512 rows drawn by hash."""
-    drawn = [r.v for r in rows.orderBy(F.xxhash64(F.lit(seed), F.col("o")), "o").limit(PIVOTS + 512).select("v").collect()]
-    if len(drawn) <= PIVOTS:
-        return 0.0
-    v = np.array(drawn, np.float64)
-    angle = np.arccos(np.clip(v[PIVOTS:] @ v[:PIVOTS].T, -1, 1))
-    return float((angle <= angle.min(1)[:, None] + reach).mean())
-
-
-def _cells(rows: DataFrame, reach: float, seed: int) -> DataFrame:
-    """Rows in their cells, home or sent. Cells with more than twice PIVOT_ROWS homed rows are divided anew
-    as long as that parts them; each numbers its own by PIVOTS times its number."""
-    if _spread(rows, reach, seed) > MOST_SPREAD:  # pivots would part nothing; the one cell is compared in chunks
-        return rows.select(F.lit(0).cast("bigint").alias("cell"), F.lit(True).alias("home"), "o", "v", "n")
-    done, open_ = None, rows.select(F.lit(0).cast("bigint").alias("cell"), F.lit(True).alias("home"), "o", "v", "n")
-    for level in range(LEVELS):
-        sizes = cut(open_.groupBy("cell").agg(F.count_if("home").alias("n"), F.count("*").alias("all")))
-        big = cut(sizes.filter(F.col("n") > 2 * PIVOT_ROWS).select("cell", "n", F.ceil(F.col("all") / PART).cast("int").alias("parts")).withColumnRenamed("n", "homed"))
-        if big.isEmpty():
+
+def _pivots(x: np.ndarray, half: float, seed: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Pivots from the rows of a sample and the cell of each, or nothing if cells would save too little.
+
+    Two cells are made one where keeping them apart leaves no fewer comparisons between them.
+    """
+    pivots = x[np.random.default_rng(seed).choice(len(x), max(1, min(PIVOTS, len(x) // 16)), replace=False)]
+    for _ in range(8):
+        nearest = (x @ pivots.T - (pivots * pivots).sum(1) / 2).argmax(1)
+        order = np.argsort(nearest, kind="stable")
+        first = np.flatnonzero(np.diff(nearest[order], prepend=-1))
+        pivots = np.add.reduceat(x[order], first, axis=0) / np.diff(first, append=len(x))[:, None]
+    pivots = pivots.astype(np.float32)
+    cell = np.arange(len(pivots))
+    while True:
+        home, within = _near(x, pivots, cell, half)
+        n = np.bincount(home, minlength=cell.max() + 1).astype(float)
+        sent = np.array([within[home == c].sum(0) for c in range(len(n))]) / np.maximum(n, 1)[:, None]
+        np.fill_diagonal(sent, 0)
+        both, name, joined = sent + sent.T, np.arange(len(n)), set()
+        for a, b in sorted(np.argwhere(np.triu(both) >= 1).tolist(), key=lambda p: -both[p[0], p[1]]):
+            if not {a, b} & joined:
+                name[b] = a
+                joined |= {a, b}
+        if not joined:
             break
-        few = broadcast_if_small(big.select("cell"))
-        small = open_.join(few, "cell", "left_anti")
-        done = small if done is None else done.unionByName(small)
-        open_ = cut(_divide(open_, big, reach, level, seed))
-    return open_ if done is None else done.unionByName(open_)
+        cell = np.unique(name, return_inverse=True)[1][cell]
+    return (pivots, cell) if (n * (within.sum(0) - n / 2)).sum() <= MOST_WORK * len(x) ** 2 / 2 else None
+
+
+def _axes(v: np.ndarray, threshold: float) -> np.ndarray | None:
+    """The fewest principal axes of the rows by which _bounds() leaves few pairs over; nothing if all dimensions do as well."""
+    if len(v) < 256:
+        return None
+    all_ = np.linalg.eigh((v.T @ v).astype(np.float64))[1][:, ::-1].astype(np.float32)
+    some = v[:: max(1, len(v) // 1024)]
+    least = (some @ some.T >= threshold).mean()
+    for k in AXES:
+        if k <= 0.75 * v.shape[1] and ((b := _bounds(some, all_[:, :k])) @ b.T >= threshold).mean() <= least + LEFT:
+            return np.ascontiguousarray(all_[:, :k])
+    return None
+
+
+def _bounds(v: np.ndarray, axes: np.ndarray | None) -> np.ndarray:
+    """Rows whose products are no less than those of ``v``: the axes and the length of the rest, a little more for rounding."""
+    if axes is None:
+        return v
+    at = v @ axes
+    rest = np.maximum(np.einsum("ij,ij->i", v, v) - np.einsum("ij,ij->i", at, at), 0)
+    return np.column_stack([at, np.sqrt(rest + np.float32(2e-6))])
 
 
 def similarity_edges(vectors: DataFrame, threshold: float, ord_col: str = "ord", vector: str = "vector", number_col: str | None = None, seed: int = 42) -> DataFrame:
     """``i, j, similarity, copy`` with j < i, for all pairs of unit vectors at least ``threshold`` similar.
 
     Of rows with equal vectors and numbers only the first takes part; each other has one edge, to
-    the first, marked as ``copy``. Pairs that the number veto parts are left out, if ``number_col``
+    the first, marked as ``copy``. Vectors are floats or packed. Pairs that the number veto parts are left out, if ``number_col``
     names arrays of numbers. ``ord_col`` must be unique. Null vectors are left out.
     """
+    spark = vectors.sparkSession
     nums = F.col(number_col) if number_col else F.array().cast("array<string>")
-    every = cut(vectors.select(F.col(ord_col).cast("bigint").alias("o"), F.col(vector).cast("array<float>").alias("v"), nums.alias("n")).filter("v is not null"))
-    own = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    keyed = every.filter(own >= threshold).select("o", F.xxhash64("v", "n").alias("k1"), F.xxhash64(F.lit(7), F.col("n"), F.col("v")).alias("k2"), own.alias("own"))
-    several = cut(keyed.groupBy("k1", "k2").agg(F.min("o").alias("first"), F.count("*").alias("times")).filter("times > 1").select("k1", "k2", "first"))
-    rows, copies = every, None
-    if not several.isEmpty():
-        copies = cut(skew_join(keyed, several, ["k1", "k2"]).filter("o <> first").select(F.col("o").alias("i"), F.col("first").alias("j"), F.col("own").alias("similarity"), F.lit(True).alias("copy")))
-        rows = cut(every.join(broadcast_if_small(copies.select(F.col("i").alias("o"))), "o", "left_anti"))
-    reach = 2 * math.acos(max(-1.0, min(1.0, threshold)))
-    n = rows.count()
-    if n <= 2 * PIVOT_ROWS:  # one cell
-        placed = sized = rows.select(F.lit(0).cast("bigint").alias("pivot"), F.lit(True).alias("home"), "o", "v", "n", F.lit(max(1, -(-n // CHUNK))).alias("chunks"))
-    else:
-        placed = cut(_cells(rows, reach, seed)).withColumnRenamed("cell", "pivot")
-        sizes = cut(placed.filter("home").groupBy("pivot").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")))
-        sized = skew_join(placed, sizes, ["pivot"])
-    homed = sized.filter("home").withColumn("chunk", F.pmod(F.xxhash64("o"), F.col("chunks")).cast("int"))
-    spread = sized.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    both = homed.select("pivot", "chunk", F.lit(0).alias("side"), "o", "v", "n").unionByName(spread.select("pivot", "chunk", F.lit(1).alias("side"), "o", "v", "n"))
+    joined = F.when(F.size(nums) > 0, F.concat(F.lit("="), F.array_join(nums, "\0"))).otherwise(F.lit(""))
+    v = F.col(vector) if dict(vectors.dtypes)[vector] == "binary" else F.col(vector).cast("array<float>")
+    with work_scope(spark) as outside:  # the packed rows go once they are placed
+        every = cut(vectors.select(F.col(ord_col).cast("bigint").alias("o"), v.alias("v"), joined.alias("n")).filter("v is not null").mapInArrow(_pack, "o bigint, v binary, n string, own double"), "zstd")
+        keyed = every.filter(F.col("own") >= threshold).select("o", F.xxhash64("v", "n").alias("k1"), F.xxhash64(F.lit(7), F.col("n"), F.col("v")).alias("k2"), "own")
+        several = cut(keyed.groupBy("k1", "k2").agg(F.min("o").alias("first"), F.count("*").alias("times")).filter("times > 1").select("k1", "k2", "first"))
+        rows, copies = every if threshold <= 0 else every.filter("own > 0"), None  # the null vector resembles nothing
+        if not several.isEmpty():
+            copies = cut(skew_join(keyed, several, ["k1", "k2"]).filter("o <> first").select(F.col("o").alias("i"), F.col("first").alias("j"), F.col("own").alias("similarity"), F.lit(True).alias("copy")), scope=outside)
+            others = broadcast_if_small(copies.select(F.col("i").alias("o")))
+            rows = rows.join(others, "o", "left_anti")
+            if not _is_marked(others):
+                rows = cut(rows, "zstd")
+        half = math.sqrt(max(0.0, 2 - 2 * threshold)) / 2 + 1e-4
+        n, made = rows.count(), None
+        if n > 2 * PIVOT_ROWS:
+            lot = F.pmod(F.xxhash64(F.lit(seed), F.col("o")), F.lit(1 << 30))
+            drawn = rows.filter(lot < int(SAMPLE / n * (1 << 30))).select("o", "v").collect()  # about SAMPLE rows, to fit pivots; all rows are placed
+            made = _pivots(_unpacked([bytes(r.v) for r in sorted(drawn, key=lambda r: r.o)]), half, seed) if drawn else None
+        most, chunk = max(1, CHUNK // 4), CHUNK
+
+        def blocks(o: np.ndarray, v: list[bytes], names: np.ndarray) -> Iterator[tuple]:
+            home, within = _near(_unpacked(v), *made, half) if made else (np.zeros(len(o), int), np.ones((len(o), 1), bool))
+            whole = np.array([x[:1] == b"c" for x in v])
+            for c in range(within.shape[1]):
+                for at_home in (True, False):
+                    of = within[:, c] & ((home == c) == at_home)
+                    for kind in (whole, ~whole):
+                        at = np.flatnonzero(of & kind)
+                        for k in range(0, len(at), most):
+                            part = at[k : k + most]
+                            yield c, at_home, len(part), o[part], names[part], pa.compress(b"".join([v[r] for r in part]), "zstd", asbytes=True), sum(len(v[r]) for r in part)
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def made_of(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                t = pa.Table.from_batches(held)
+                out = list(zip(*blocks(t.column(0).to_numpy(), t.column(1).to_pylist(), np.array(t.column(2).to_pylist(), object))))
+                kinds = [pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.binary(), pa.int64()]
+                yield pa.record_batch([pa.array(x, k) for x, k in zip(out, kinds)], ["cell", "home", "n", "o", "names", "v", "bytes"])
+
+            held: list[pa.RecordBatch] = []
+            for batch in batches:
+                held += [batch] if batch.num_rows else []
+                if sum(b.num_rows for b in held) >= PART:
+                    yield from made_of(held)
+                    held = []
+            if held:
+                yield from made_of(held)
+
+        placed = cut(rows.select("o", "v", "n").mapInArrow(place, "cell int, home boolean, n int, o array<bigint>, names array<string>, v binary, bytes bigint"), scope=outside)
+    sizes = placed.groupBy("cell").agg(F.sum(F.when(F.col("home"), F.col("n")).otherwise(0)).alias("homed"), F.sum(F.when(F.col("home"), 0).otherwise(F.col("n"))).alias("sent")).filter("homed > 0").collect()  # a row a cell
+    work = sum(r.homed * (r.homed / 2 + r.sent) for r in sizes)
+    counts = spark.createDataFrame([(r.cell, -(-r.homed // chunk)) for r in sizes], "cell int, homes int")
+    units = sum(h * (h + 1) // 2 for r in sizes for h in [-(-r.homed // chunk)])
+    # a unit holds chunk a of a cell and meets chunk b >= a and, of the rows sent there, those that fall to b
+    lot = F.pmod(F.xxhash64(F.element_at("o", 1), "bytes"), F.lit(1 << 30))
+    sized = placed.join(F.broadcast(counts), "cell").withColumn("own", (lot % F.col("homes")).cast("int")).withColumn("lot", lot)
+    rest = ["n", "o", "names", "v", "bytes"]
+    last = F.col("homes") - 1
+    held_ = sized.filter("home").select("cell", F.col("own").alias("a"), F.explode(F.sequence("own", last)).alias("b"), F.lit(0).alias("side"), *rest)
+    met = sized.filter("home and own > 0").select("cell", F.explode(F.sequence(F.lit(0), F.col("own") - 1)).alias("a"), F.col("own").alias("b"), F.lit(1).alias("side"), *rest)
+    sent = sized.filter("not home").select("cell", F.explode(F.sequence(F.lit(0), last)).alias("a"), "homes", "lot", *rest)
+    met = met.unionByName(sent.select("cell", "a", (F.col("a") + F.col("lot") % (F.col("homes") - F.col("a"))).cast("int").alias("b"), F.lit(1).alias("side"), *rest))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def read(batch: pa.RecordBatch, r: int) -> tuple:
+            v = _flat(pa.decompress(batch.column(7)[r].as_py(), batch.column(8)[r].as_py(), "zstd", asbytes=True), batch.column(4)[r].as_py())
+            return batch.column(5)[r].values.to_numpy(), np.array(batch.column(6)[r].as_py(), object), v
+
+        product, over = np.empty(TILE * TILE, np.float32), np.empty(TILE * TILE, bool)
+
+        def pairs(x: tuple, y: tuple, same: bool) -> Iterator[pa.RecordBatch]:
+            for low in range(0, len(x[0]), TILE):
+                for left in range(low if same else 0, len(y[0]), TILE):
+                    p, q = x[3][low : low + TILE], y[3][left : left + TILE]
+                    at = len(p), len(q)
+                    np.matmul(p, q.T, out=(sims := product[: at[0] * at[1]].reshape(at)))
+                    maybe = np.flatnonzero(np.greater_equal(sims, threshold - 1e-5, out=over[: at[0] * at[1]].reshape(at)))
+                    for k in range(0, len(maybe), TILE):
+                        p, q = maybe[k : k + TILE] // at[1] + low, maybe[k : k + TILE] % at[1] + left
+                        ok = x[0][p] > y[0][q] if same and low == left else x[0][p] != y[0][q]
+                        if number_col:
+                            n, m = x[1][p], y[1][q]
+                            ok &= (n == "") | (m == "") | (n == m)
+                        p, q = p[ok], q[ok]
+                        sim = np.einsum("ij,ij->i", x[2][p].astype(np.float64), y[2][q].astype(np.float64))
+                        o, other, sim = x[0][p][sim >= threshold], y[0][q][sim >= threshold], sim[sim >= threshold]
+                        if len(o):
+                            yield pa.record_batch([pa.array(np.maximum(o, other)), pa.array(np.minimum(o, other)), pa.array(sim)], ["i", "j", "similarity"])
+
+        def whole(held: list[tuple]) -> tuple:
+            o, names, v = (np.concatenate(x) for x in zip(*held))
+            axes = _axes(v, threshold)
+            return o, names, v, _bounds(v, axes), axes
+
         key: tuple | None = None
         held: list[tuple] = []
         block: tuple | None = None
         for batch in batches:
-            p, c, s = (batch.column(k).to_numpy() for k in range(3))
-            for low, high in _runs(batch, 3):
-                part = batch.slice(low, high - low)
-                o, v, n = part.column(3).to_numpy(), _matrix(part.column(4)), part.column(5).to_pylist()
-                if key != (p[low], c[low]):
-                    key, held, block = (p[low], c[low]), [], None
-                if s[low] == 0:
-                    held.append((o, v, n))
-                    continue
-                if block is None:
-                    block = (np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), [x for h in held for x in h[2]])
-                bo, bv, bn = block
-                sim = bv @ v.T
-                x, y = np.nonzero(sim >= threshold)
-                keep = o[y] < bo[x]
-                x, y = x[keep], y[keep]
-                if number_col:
-                    ok = np.array([not (bn[a] and n[b] and bn[a] != n[b]) for a, b in zip(x.tolist(), y.tolist())], bool)
-                    x, y = x[ok], y[ok]
-                yield pa.record_batch([pa.array(bo[x]), pa.array(o[y]), pa.array(sim[x, y])], ["i", "j", "similarity"])
-
-    arranged = both.repartition("pivot", "chunk").sortWithinPartitions("pivot", "chunk", "side")
+            c, a, b, s = (batch.column(k).to_numpy() for k in range(4))
+            for r in range(batch.num_rows):
+                if key != (c[r], a[r], b[r]):
+                    if held and key[1] == key[2]:
+                        block = whole(held)
+                        yield from pairs(block, block, True)
+                    key, held, block = (c[r], a[r], b[r]), [], None
+                if s[r] == 0:
+                    held.append(read(batch, r))
+                elif held:
+                    block, other = block or whole(held), read(batch, r)
+                    yield from pairs(block, (*other, _bounds(other[2], block[4])), False)
+        if held and key[1] == key[2]:
+            block = whole(held)
+            yield from pairs(block, block, True)
+
+    tasks = max(1, min(units, 2 * spark.sparkContext.defaultParallelism), min(units, math.ceil(work / WORK)))
+    arranged = held_.unionByName(met).repartition(tasks, "cell", "a", "b").sortWithinPartitions("cell", "a", "b", "side")
     found = arranged.mapInArrow(compare, "i bigint, j bigint, similarity double").groupBy("i", "j").agg(F.max("similarity").alias("similarity"))
     found = found.withColumn("copy", F.lit(False))
     return found if copies is None else found.unionByName(copies)
@@ -283,14 +418,18 @@ def lexical_overlap(a: Column, b: Column) -> Column:
 
 def greedy_dedup(pairs: DataFrame, ord_col: str, vector: str, threshold: float = 0.90) -> tuple[DataFrame, DataFrame]:
     """Pairs that stay, and a record per pair that goes with what it resembles."""
-    numbered = pairs.withColumn("_n", answer_numbers(F.col("answer")))
-    edges = cut(similarity_edges(numbered, threshold, ord_col, vector, "_n"))
-    gone = cut(resolve(edges))
-    found = matches(edges, gone)
+    numbered = pairs.select(ord_col, vector, answer_numbers(F.col("answer")).alias("_n"))
+    with work_scope(pairs.sparkSession) as outside:
+        edges = cut(similarity_edges(numbered, threshold, ord_col, vector, "_n"))
+        gone = cut(resolve(edges), scope=outside)
+        found = cut(matches(edges, gone), scope=outside)
     unique = pairs.join(broadcast_if_small(gone.withColumnRenamed("i", ord_col)), ord_col, "left_anti")
-    text = pairs.select(F.col(ord_col).alias("_o"), "question", "answer", "source", "page", "question_type", "quality_score")
+    # texts of the rows that take part, so that those of all others are shuffled once at most
+    taking = found.select(F.col("i").alias(ord_col)).unionByName(found.select(F.col("duplicate_of").alias(ord_col))).distinct()
+    texts = cut(pairs.select(ord_col, "question", "answer", "source", "page", "question_type", "quality_score").join(broadcast_if_small(taking), ord_col, "left_semi"), "zstd")
+    text = texts.withColumnRenamed(ord_col, "_o")
     removed = found.join(text, found["i"] == text["_o"]).drop("_o").withColumnsRenamed({"question": "removed_question", "answer": "removed_answer"})
-    other = pairs.select(F.col(ord_col).alias("duplicate_of"), F.col("question").alias("duplicate_of_question"), F.col("answer").alias("duplicate_of_answer"))
+    other = texts.select(F.col(ord_col).alias("duplicate_of"), F.col("question").alias("duplicate_of_question"), F.col("answer").alias("duplicate_of_answer"))
     full = removed.join(other, "duplicate_of")
     overlap = lexical_overlap(F.col("removed_question"), F.col("duplicate_of_question"))
     return unique, full.withColumn("lexical_overlap", overlap).select("i", "removed_question", "removed_answer", "duplicate_of_question", "duplicate_of_answer", "similarity", "lexical_overlap", "source", "page", "question_type", "quality_score")

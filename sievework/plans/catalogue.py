@@ -376,8 +376,8 @@ def opener_diversity(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def dedup_pairs(s: SparkSession, d: str) -> DataFrame:
-    pairs = _pairs(s, d).withColumn("vector", dedup.hashed_vector(dedup.dedup_text(F.col("question"), F.col("answer"))))
-    return dedup.greedy_dedup(cut(pairs), "pair_id", "vector")[1]
+    pairs = _pairs(s, d).withColumn("vector", dedup.hashed_vector(dedup.dedup_text(F.col("question"), F.col("answer")), packed=True))
+    return dedup.greedy_dedup(pairs, "pair_id", "vector")[1]
 
 
 # ---- grounding

@@ -77,17 +77,18 @@ def _clean_at_exit(spark: SparkSession, folder: str) -> None:
     atexit.register(clean)
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, codec: str | None = None, scope: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, so that later passes neither recompute it nor depend on
-    any executor. The folder goes when the application ends, or with the ``work_scope`` around.
+    any executor. The folder goes when the application ends, or with the ``work_scope`` around,
+    or with that which ``scope`` names.
     """
     spark = df.sparkSession
     folder = work_folder(spark)
     _clean_at_exit(spark, folder)
-    path = f"{folder}/{_scope.get()}{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{folder}/{_scope.get() if scope is None else scope}{uuid.uuid4().hex}"
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -105,12 +106,12 @@ _scope: ContextVar[str] = ContextVar("scope", default="")
 
 
 @contextmanager
-def work_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete at the end what is ``cut`` inside; results must be written or collected before. Scopes may be nested."""
+def work_scope(spark: SparkSession) -> Iterator[str]:
+    """Delete at the end what is ``cut`` inside; results must be written, collected or cut in the scope outside, whose name is given, before. Scopes may be nested."""
     outer = _scope.get()
     token = _scope.set(f"{outer}{uuid.uuid4().hex}/")
     try:
-        yield
+        yield outer
     finally:
         own = _scope.get()
         _scope.reset(token)

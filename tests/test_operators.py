@@ -1,6 +1,9 @@
 import random
+import re
+import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 from sievework.operators import agreement, budget, checkpoints, dedup, explorer, generation, grounding, ingest, judging, statistics, sweeps
 from sievework.operators.ordinals import with_ordinal, with_running_total
 from sievework.schemas import SCORES
+from sievework.session import cut
 
 
 def paginate(text, size=3000):
@@ -168,6 +172,55 @@ def test_greedy_dedup(spark, monkeypatch, t, guarded, pivots):
     assert {x.i: x.duplicate_of for x in dedup.matches(edges, gone).collect()} == match
 
 
+@pytest.mark.parametrize("pivots,chunk", [(20_000, 65_536), (100, 700)])
+def test_edges_without_copies_of_vectors(spark, monkeypatch, pivots, chunk):
+    """All pairs, of rows that pivots part badly, while few bytes a row are shuffled; cells and chunks lose none."""
+    monkeypatch.setattr(dedup, "PIVOT_ROWS", pivots)
+    monkeypatch.setattr(dedup, "CHUNK", chunk)
+    r = np.random.default_rng(5)
+    n = 12_000
+    family = r.poisson(0.2, (12, 256)) * r.choice([-1, 1], (12, 256))
+    v = (family[r.integers(0, 12, n)] + r.poisson(0.05, (n, 256)) * r.choice([-1, 1], (n, 256))).astype(np.float64)
+    twice = r.integers(0, n, 1000)
+    v[twice] = v[r.integers(0, n, 1000)] + r.poisson(0.02, (1000, 256))
+    v[:50] += 0.01 * r.normal(size=(50, 256))
+    v = (v / np.linalg.norm(v, axis=1)[:, None]).astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"ord": range(n), "vector": list(v)}), "ord bigint, vector array<float>").repartition(8)
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled():
+        bus.waitUntilEmpty(30_000)
+        return sum(store.executorList(False).apply(k).totalShuffleWrite() for k in range(store.executorList(False).size()))
+
+    df = cut(df)
+    before = shuffled()
+    got = {(x.i, x.j) for x in dedup.similarity_edges(df, 0.9).collect()}
+    per_row = (shuffled() - before) / n
+    sure, sim = v.astype(np.float64), v @ v.T
+    first = {x.tobytes(): i for i, x in reversed(list(enumerate(v)))}
+    stay = np.array([first[x.tobytes()] == i for i, x in enumerate(v)])
+    i, j = np.nonzero(np.tril(sim >= 0.8999, -1) & stay & stay[:, None])
+    want = {(a, b) for a, b in zip(i.tolist(), j.tolist()) if sure[a] @ sure[b] >= 0.9} | {(k, first[v[k].tobytes()]) for k in np.flatnonzero(~stay).tolist()}
+    assert len(want) > 500 and got == want
+    if pivots == 20_000:  # before, every chunk of 4,096 rows had all vectors sent
+        assert per_row < 300
+
+
+def test_packed_vectors(spark):
+    """Packed or not, the vectors are those of words hashed one at a time."""
+    texts = ["", None, "Dose of 1.5 g_x, for ÄRZTE and Ärzte", "a " * 300, "one two\x1fone\u0130 two"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(dedup.hashed_vector(F.col("t")).alias("v"), dedup.hashed_vector(F.col("t"), packed=True).alias("p")).collect()
+    for t, row in zip(texts, rows):
+        v, w = np.zeros(256), re.findall(r"[^\W_]+", (t or "").lower())
+        for g in [*w, *(" ".join(p) for p in zip(w, w[1:]))]:
+            h = zlib.crc32(g.encode())
+            v[h % 256] += 1.0 if h >> 31 else -1.0
+        want = (v / (np.linalg.norm(v) or 1.0)).astype(np.float32)
+        assert row.v == want.tolist() and dedup._unpacked([bytes(row.p)])[0].tolist() == want.tolist()
+        assert dedup._unpacked(dedup._packed(want[None]))[0].tolist() == want.tolist()
+
+
 @pytest.mark.parametrize("guarded", [False, True])
 def test_equal_vectors_are_compared_once(spark, guarded):
     """Copies go, whatever becomes of their first, and resemble the nearest that stays."""
